@@ -1 +1,276 @@
-"""(filled in below)"""
+"""Sources, sinks and streams on the test tables: publish / upsert, partitioned
+landing, feed lookup, bronze snapshot and trip streams, silver stream,
+incremental current state.
+
+Every query writes into a fresh folder under the shared checkpoint folder
+(``spark.checkpoint.dir``) and returns a batch read of what it wrote.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
+                               StructType, TimestampType)
+
+from bikelake.functions.clean import round_decimal
+from bikelake.operators.silver import clean_trips
+from bikelake.plans import derive
+from bikelake.plans.bind_profile import SNAPSHOT_CUT
+from bikelake.plans.catalog import query
+from bikelake.session import scratch_path
+from bikelake.sinks.landing import JSON_TS_FORMAT, land_snapshots, read_landed
+from bikelake.sinks.tables import publish, upsert
+from bikelake.sources.files import feed_url
+from bikelake.sources.schemas import (DISCOVERY, STATION_STATUS, TRIP_COLUMNS, all_strings,
+                                      envelope)
+from bikelake.sources.tables import load_table
+from bikelake.streaming.ingest import clean_trips_stream, ingest_snapshots, ingest_trips
+from bikelake.streaming.state import incremental_state
+
+# CSV writer/reader options that keep values byte-exact (blanks, empty strings).
+CSV_EXACT = {"header": "true", "ignoreLeadingWhiteSpace": "false",
+             "ignoreTrailingWhiteSpace": "false"}
+
+
+def unique_name(prefix: str) -> str:
+    return f"bl_{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def user_totals(ev: DataFrame) -> DataFrame:
+    return ev.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.max("ts").alias("last_event_at"),
+        round_decimal(F.sum("value"), 2).alias("total_value"))
+
+
+_TOTALS_SQL = """select user_id, count(*) as n_events, max(ts) as last_event_at,
+                 cast(round(cast(sum(value) as decimal(28,10)), 2) as double) as total_value
+                 from events {where} group by user_id"""
+
+
+@query("upsert_first_load", sql=_TOTALS_SQL.format(where=""))
+def q_upsert_first_load(spark: SparkSession, sf: str) -> DataFrame:
+    """K2: the first publish creates the table; read back through the catalog."""
+    name = unique_name("first")
+    publish(user_totals(load_table(spark, sf, "events")), name, scratch_path(spark, "tables"))
+    return spark.table(name)
+
+
+@query("upsert_merge", sql=f"""
+    with t as ({_TOTALS_SQL.format(where=f"where ts < timestamp '{SNAPSHOT_CUT}'")}),
+         s as ({_TOTALS_SQL.format(where=f"where ts >= timestamp '{SNAPSHOT_CUT}'")})
+    select coalesce(s.user_id, t.user_id) as user_id,
+           case when s.user_id is not null then s.n_events else t.n_events end as n_events,
+           case when s.user_id is not null then s.last_event_at else t.last_event_at end as last_event_at,
+           case when s.user_id is not null then s.total_value else t.total_value end as total_value
+    from t full outer join s on t.user_id = s.user_id""")
+def q_upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """K3 + J6: totals before the cut are the table, totals from the cut on are
+    merged by ``user_id`` — twice, to show the merge is idempotent."""
+    ev = load_table(spark, sf, "events")
+    cut = F.lit(SNAPSHOT_CUT).cast("timestamp")
+    name, root = unique_name("merge"), scratch_path(spark, "tables")
+    publish(user_totals(ev.filter(F.col("ts") < cut)), name, root)
+    source = user_totals(ev.filter(F.col("ts") >= cut))
+    upsert(name, source, ["user_id"], root)
+    upsert(name, source, ["user_id"], root)
+    return spark.table(name)
+
+
+EVENT_JSON = StructType([
+    StructField("event_id", LongType()), StructField("ts", StringType()),
+    StructField("user_id", LongType()), StructField("event_type", StringType()),
+    StructField("value", StringType()),
+])
+
+
+@query("land_partitioned", sql="""
+    select event_id, user_id, event_type, ts,
+           cast(year(ts) as integer) as year, cast(month(ts) as integer) as month,
+           cast(day(ts) as integer) as day
+    from events""")
+def q_land_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """K5: land events as JSON under year=/month=/day= (UTC) and read them back
+    with typed partition columns."""
+    path = scratch_path(spark, "landing")
+    ev = load_table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    land_snapshots(ev, path, "ts", grain="day")
+    schema = StructType([StructField("event_id", LongType()),
+                         StructField("ts", TimestampType()),
+                         StructField("user_id", LongType()), StructField("event_type", StringType())])
+    return read_landed(spark, path, schema, grain="day").select(
+        "event_id", "user_id", "event_type", "ts", "year", "month", "day")
+
+
+@query("feed_lookup", sql="""
+    select s_suppkey // 5 as doc_id, cast(1704067200 as bigint) as last_updated,
+           'https://feeds.example/' || s_name || '/' || cast(s_nationkey as varchar) || '.json' as url
+    from supplier where s_suppkey % 5 = 2""")
+def q_feed_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Discovery documents (written as JSON, read with the contract) ->
+    URL of the ``station_status`` feed in each."""
+    path = scratch_path(spark, "discovery")
+    derive.discovery_documents(load_table(spark, sf, "supplier")).write.json(path)
+    docs = spark.read.schema(StructType([StructField("doc_id", LongType())] + list(DISCOVERY.fields))) \
+        .json(path).drop("ttl")
+    return feed_url(docs, "station_status")
+
+
+# --- streams ---------------------------------------------------------------
+
+STATUS_ELEMENT_SQL = """
+    select cast(user_id as varchar) as station_id,
+           cast(floor(value / 10) as bigint) as num_bikes_available,
+           cast(floor(value) as bigint) % 3 as num_bikes_disabled,
+           cast(floor(value) as bigint) % 7 as num_docks_available,
+           event_id % 2 as num_docks_disabled,
+           cast(floor(value / 20) as bigint) as num_ebikes_available,
+           cast(0 as bigint) as num_scooters_available, cast(0 as bigint) as num_scooters_unavailable,
+           case when event_type != 'error' then 'true' else 'false' end as is_installed,
+           case when event_type = 'signup' then '0' else '1' end as is_renting,
+           case when event_type in ('signup', 'view') then '0' else '1' end as is_returning,
+           cast(floor(epoch(ts)) as bigint) as last_reported,
+           max(cast(floor(epoch(ts)) as bigint)) over (partition by cast(ts as date), event_id // 256)
+             as last_updated,
+           cast(60 as bigint) as ttl
+    from events"""
+
+
+def _write_status_docs(spark: SparkSession, sf: str, path: str) -> None:
+    docs = derive.status_documents(load_table(spark, sf, "events"))
+    # one JSON-lines file per day: the stream sees them as separate new files
+    docs.repartition("_day").drop("_day").write.json(path)
+
+
+@query("bronze_stream_explode", sql=STATUS_ELEMENT_SQL)
+def q_bronze_stream_explode(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 P1 P2 K1 ST1 ST4: status snapshot documents -> incremental JSON stream ->
+    explode ``data.stations`` + flatten + lineage -> checkpointed append."""
+    base = scratch_path(spark, "bronze_status")
+    _write_status_docs(spark, sf, f"{base}/in")
+    ingest_snapshots(spark, f"{base}/in", envelope(STATION_STATUS), f"{base}/ckpt",
+                     path=f"{base}/out", multi_line=False, max_files=8)
+    cols = [f.name for f in STATION_STATUS.fields] + ["last_updated", "ttl"]
+    return spark.read.parquet(f"{base}/out").select(*cols)
+
+
+TRIP_ROWS_SQL = """
+    select ts as _ts,
+           ' R' || cast(event_id as varchar) as ride_id,
+           case when event_id % 2 = 0 then ' Electric_Bike' else 'classic_bike ' end as rideable_type,
+           strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as started_at,
+           strftime(make_timestamp(epoch_us(ts) + cast(floor(value * 60000000.0) as bigint)),
+                    '%Y-%m-%d %H:%M:%S.%f') as ended_at,
+           'W  ' || cast(user_id as varchar) || ' St' as start_station_name,
+           ' ' || cast(user_id as varchar) || '.0' || cast(event_id % 10 as varchar)
+             || repeat('_', cast(event_id % 3 as integer)) as start_station_id,
+           ' E ' || cast(user_id % 50 as varchar) || chr(9) || 'Ave ' as end_station_name,
+           cast((user_id + event_id) % 150 as varchar) || '.10' as end_station_id,
+           printf('%.4f', value / 10.0) as start_lat,
+           -- an empty CSV field reads back as NULL (the CSV null value is the empty string)
+           case when event_type = 'error' then null else cast(user_id as varchar) end as start_lng,
+           case when event_type = 'view' then 'n/a' else printf('%.2f', value) end as end_lat,
+           cast(event_id as varchar) as end_lng,
+           case when event_type in ('click', 'view') then ' Member' else 'casual' end as member_casual
+    from events"""
+
+TRIP_SCHEMA = all_strings(TRIP_COLUMNS, {"year": IntegerType(), "month": IntegerType()})
+
+
+def _land_trips(spark: SparkSession, sf: str, path: str) -> None:
+    rows = derive.trip_rows(load_table(spark, sf, "events"))
+    land_snapshots(rows, path, "_ts", grain="month", fmt="csv", drop_ts=True, **CSV_EXACT)
+
+
+@query("trips_csv_stream", sql=f"""
+    select * exclude (_ts), cast(year(_ts) as integer) as year, cast(month(_ts) as integer) as month
+    from ({TRIP_ROWS_SQL})""")
+def q_trips_csv_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Trip CSVs under year=/month= folders -> incremental CSV stream
+    (all strings, partition columns typed) -> lineage -> checkpointed append."""
+    base = scratch_path(spark, "bronze_trips")
+    _land_trips(spark, sf, f"{base}/in")
+    ingest_trips(spark, f"{base}/in", TRIP_SCHEMA, f"{base}/ckpt", path=f"{base}/out")
+    return spark.read.parquet(f"{base}/out").select(*TRIP_COLUMNS, "year", "month")
+
+
+def _regex_id(c: str) -> str:
+    return (f"regexp_replace(regexp_replace(regexp_replace(trim({c}), '_+$', ''), "
+            f"'(\\.\\d*?[1-9])0+$', '\\1'), '\\.0+$', '')")
+
+
+def _trip_name(c: str) -> str:
+    return (f"regexp_replace(regexp_replace(trim({c}), '\\s+', ' ', 'g'), "
+            f"'\\b([NSEW])\\s+(\\d+)\\b', '\\1\\2', 'g')")
+
+
+SILVER_TRIPS_SQL = f"""
+    select trim(ride_id) as ride_id, lower(trim(rideable_type)) as rideable_type,
+           try_cast(started_at as timestamp) as started_at, try_cast(ended_at as timestamp) as ended_at,
+           {_trip_name('start_station_name')} as start_station_name,
+           {_regex_id('start_station_id')} as start_station_id,
+           {_trip_name('end_station_name')} as end_station_name,
+           {_regex_id('end_station_id')} as end_station_id,
+           try_cast(start_lat as double) as start_lat, try_cast(start_lng as double) as start_lng,
+           try_cast(end_lat as double) as end_lat, try_cast(end_lng as double) as end_lng,
+           lower(trim(member_casual)) as member_casual,
+           round((floor(epoch(try_cast(ended_at as timestamp))) - floor(epoch(try_cast(started_at as timestamp))))
+                 / 60.0, 2) as ride_duration_minutes,
+           cast(year(_ts) as integer) as year, cast(month(_ts) as integer) as month
+    from ({TRIP_ROWS_SQL})"""
+
+SILVER_TRIP_COLUMNS = [c for c in TRIP_COLUMNS] + ["ride_duration_minutes", "year", "month"]
+
+
+def bronze_trips_table(spark: SparkSession, sf: str, base: str) -> str:
+    """Land trip CSVs and ingest them into a catalog bronze table; returns its name."""
+    name = unique_name("bronze_trips")
+    _land_trips(spark, sf, f"{base}/in")
+    ingest_trips(spark, f"{base}/in", TRIP_SCHEMA, f"{base}/ckpt_bronze",
+                 path=f"{base}/bronze", table=name)
+    return name
+
+
+@query("silver_stream", sql=SILVER_TRIPS_SQL)
+def q_silver_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """S8 ST3: the bronze trips table read as a stream -> ``clean_trips`` -> append.
+    The result equals ``clean_trips`` applied to the same rows in batch."""
+    base = scratch_path(spark, "silver_trips")
+    bronze = bronze_trips_table(spark, sf, base)
+    clean_trips_stream(spark, bronze, f"{base}/ckpt_silver", path=f"{base}/silver")
+    return spark.read.parquet(f"{base}/silver").select(*SILVER_TRIP_COLUMNS)
+
+
+@query("silver_batch", sql=SILVER_TRIPS_SQL)
+def q_silver_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """ST3 batch twin of ``silver_stream``: the same transform on a static read."""
+    base = scratch_path(spark, "silver_batch")
+    _land_trips(spark, sf, f"{base}/in")
+    raw = spark.read.schema(TRIP_SCHEMA).options(**CSV_EXACT).csv(f"{base}/in")
+    return clean_trips(raw).select(*SILVER_TRIP_COLUMNS)
+
+
+@query("incremental_current_state", sql="""
+    select user_id, event_id, ts, event_type, value
+    from events
+    qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""")
+def q_incremental_current_state(spark: SparkSession, sf: str) -> DataFrame:
+    """ST5: events replayed as daily files, one file per micro-batch; each batch is
+    reduced to the latest row per user and merged into a versioned table guarded
+    by the ordering keys.  Equals the full recompute (``latest_info``)."""
+    base = scratch_path(spark, "state")
+    ev = load_table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    land_snapshots(ev, f"{base}/in", "ts", grain="day")
+    schema = StructType([StructField("user_id", LongType()), StructField("event_id", LongType()),
+                         StructField("ts", TimestampType()),
+                         StructField("event_type", StringType()),
+                         StructField("value", DoubleType())])
+    stream = (spark.readStream.schema(schema).option("timestampFormat", JSON_TS_FORMAT)
+              .option("maxFilesPerTrigger", 10).json(f"{base}/in"))
+    name = unique_name("state")
+    incremental_state(stream, name, f"{base}/tables", ["user_id"], ["ts", "event_id"],
+                      f"{base}/ckpt")
+    return spark.table(name).select("user_id", "event_id", "ts", "event_type", "value")
