@@ -50,7 +50,7 @@ def hourly_demand(df: DataFrame, ts: str = "started_at",
 
 
 def _resolved(df: DataFrame, ts, id_col, name_col, lat, lng,
-              mapping: DataFrame | None, map_key: str) -> DataFrame:
+              mapping: DataFrame | None, map_key: str, carry=()) -> DataFrame:
     """Rows with a non-blank id, resolved to a canonical key."""
     side = df.select(
         F.year(_c(ts)).alias("ride_year"),
@@ -59,10 +59,11 @@ def _resolved(df: DataFrame, ts, id_col, name_col, lat, lng,
         _c(name_col).alias("_name"),
         _c(lat).cast("double").alias("_lat"),
         _c(lng).cast("double").alias("_lng"),
+        *carry,
     ).filter(non_blank("_id"))
     if mapping is None:
         return side.select("ride_year", "ride_month", F.col("_id").alias("station_key"),
-                           F.col("_name").alias("station_name_raw"), "_lat", "_lng")
+                           F.col("_name").alias("station_name_raw"), "_lat", "_lng", *carry)
     m = mapping.select(F.col(map_key).alias("_mid"),
                        F.col("canonical_station_key").alias("_mkey"),
                        F.col("canonical_station_name").alias("_mname"))
@@ -71,7 +72,7 @@ def _resolved(df: DataFrame, ts, id_col, name_col, lat, lng,
         "ride_year", "ride_month",
         F.coalesce("_mkey", "_id").alias("station_key"),
         F.coalesce("_mname", "_name").alias("station_name_raw"),
-        "_lat", "_lng",
+        "_lat", "_lng", *carry,
     )
 
 
@@ -129,12 +130,25 @@ def monthly_flow(dep_rows: DataFrame, arr_rows: DataFrame, mapping: DataFrame |
     per-side measures.  Rows whose year or month is NULL keep the side in their
     grouping key, which reproduces the full outer join exactly (NULLs never match).
     """
-    def tagged(rows, spec, is_dep):
-        r = _resolved(rows, spec["ts"], spec["id"], spec["name"], spec["lat"], spec["lng"],
-                      mapping, map_key)
-        return r.withColumn("_dep", F.lit(is_dep))
-
-    u = tagged(dep_rows, dep, True).unionByName(tagged(arr_rows, arr, False))
+    if dep_rows is arr_rows:
+        # Departures and arrivals come from the same rows (trips): read them once
+        # and emit two tagged rows per trip instead of scanning the table twice.
+        sides = F.array(*[
+            F.struct(_c(spec["ts"]).alias("ts"), _c(spec["id"]).cast("string").alias("id"),
+                     _c(spec["name"]).cast("string").alias("name"),
+                     _c(spec["lat"]).cast("double").alias("lat"),
+                     _c(spec["lng"]).cast("double").alias("lng"), F.lit(flag).alias("_dep"))
+            for spec, flag in ((dep, True), (arr, False))])
+        rows = dep_rows.select(F.explode(sides).alias("_s")).select("_s.*")
+        u = _resolved(rows, "ts", "id", "name", "lat", "lng", mapping, map_key,
+                      carry=["_dep"])
+    else:
+        def tagged(rows, spec, is_dep):
+            r = _resolved(rows, spec["ts"], spec["id"], spec["name"], spec["lat"], spec["lng"],
+                          mapping, map_key)
+            return r.withColumn("_dep", F.lit(is_dep))
+
+        u = tagged(dep_rows, dep, True).unionByName(tagged(arr_rows, arr, False))
     null_part = F.when(F.col("ride_year").isNull() | F.col("ride_month").isNull(), F.col("_dep"))
     d, a = F.col("_dep"), ~F.col("_dep")
     g = (

@@ -56,7 +56,7 @@ def arrival_rows(spark: SparkSession, sf: str) -> DataFrame:
 DEP = dict(ts="o_orderdate", id="dep_id", name="c_name", lat="c_acctbal", lng="o_totalprice")
 ARR = dict(ts="l_shipdate", id="arr_id", name="s_name", lat="l_extendedprice", lng="l_discount")
 
-_SIDE_SQL = """
+SIDE_SQL = """
     select cast(year({ts}) as integer) as ride_year, cast(month({ts}) as integer) as ride_month,
            coalesce(m.canonical_station_key, t.{id}) as station_key,
            max(coalesce(m.canonical_station_name, t.{name})) as station_name,
@@ -72,8 +72,8 @@ _DEP_ROWS = """select o_orderdate, cast(o_custkey as varchar) as dep_id, c_name,
 _ARR_ROWS = """select l_shipdate, cast(l_suppkey as varchar) as arr_id, s_name, l_extendedprice, l_discount
                from lineitem join supplier on l_suppkey = s_suppkey"""
 
-DEPARTURES_SQL = _SIDE_SQL.format(rows=_DEP_ROWS, count_as="departures", **DEP)
-ARRIVALS_SQL = _SIDE_SQL.format(rows=_ARR_ROWS, count_as="arrivals", **ARR)
+DEPARTURES_SQL = SIDE_SQL.format(rows=_DEP_ROWS, count_as="departures", **DEP)
+ARRIVALS_SQL = SIDE_SQL.format(rows=_ARR_ROWS, count_as="arrivals", **ARR)
 
 
 @query("hourly_demand", sql="""
@@ -95,10 +95,12 @@ def q_monthly_departures(spark: SparkSession, sf: str) -> DataFrame:
                         count_as="departures")
 
 
-_FLOW_SQL = f"""
-    with mapping as ({MAPPING_SQL}),
-    d as ({DEPARTURES_SQL}),
-    a as ({ARRIVALS_SQL}),
+def flow_sql(mapping_sql: str, departures_sql: str, arrivals_sql: str) -> str:
+    """DuckDB form of the monthly flow model: two aggregates + full outer join."""
+    return f"""
+    with mapping as ({mapping_sql}),
+    d as ({departures_sql}),
+    a as ({arrivals_sql}),
     f as (
       select coalesce(d.ride_year, a.ride_year) as ride_year,
              coalesce(d.ride_month, a.ride_month) as ride_month,
@@ -118,6 +120,9 @@ _FLOW_SQL = f"""
     from f"""
 
 
+_FLOW_SQL = flow_sql(MAPPING_SQL, DEPARTURES_SQL, ARRIVALS_SQL)
+
+
 @query("monthly_flow", sql=_FLOW_SQL)
 def q_monthly_flow(spark: SparkSession, sf: str) -> DataFrame:
     return monthly_flow(departure_rows(spark, sf), arrival_rows(spark, sf),

@@ -28,4 +28,4 @@ def query(name: str, sql: str | None = None):
 
 
 # Register all bindings (modules add themselves to QUERIES on import).
-from bikelake.plans import bind_gold, bind_silver, bind_profile, bind_io  # noqa: E402,F401
+from bikelake.plans import bind_gold, bind_silver, bind_profile, bind_io, bind_flows  # noqa: E402,F401
