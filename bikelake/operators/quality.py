@@ -43,32 +43,41 @@ class DataTestFailure(RuntimeError):
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], table_name: str = "") -> DataFrame:
-    row_checks = [c for c in checks if c.test in ("not_null", "accepted_values")]
-    uniq = [c for c in checks if c.test == "unique"]
-    unknown = [c for c in checks if c.test not in ("not_null", "accepted_values", "unique")]
+    """All checks of a table in ONE scan and one shuffle.
+
+    Every row emits one small record per check: ``(check, key, bad)`` where
+    ``key`` is the column value for ``unique`` checks and NULL otherwise.  A
+    partial hash aggregate on ``(check, key)`` collapses the row-level checks to
+    one record per task before the shuffle; the final step counts bad rows and
+    keys seen more than once.  The data is read once however many checks exist.
+    """
+    known = ("not_null", "accepted_values", "unique")
+    unknown = [c for c in checks if c.test not in known]
     if unknown:
         raise ValueError(f"unknown tests {unknown}")
-    parts = []
-    if row_checks:
-        aggs = []
-        for i, c in enumerate(row_checks):
-            col = F.col(c.column)
-            bad = col.isNull() if c.test == "not_null" else (col.isNotNull() & ~col.isin(list(c.values)))
-            aggs.append(F.count_if(bad).alias(f"f{i}"))
-        one = df.agg(*aggs)
-        parts.append(one.select(F.explode(F.array(*[
-            F.struct(F.lit(c.column).alias("column_name"), F.lit(c.test).alias("test"),
-                     F.col(f"f{i}").cast("long").alias("failures"))
-            for i, c in enumerate(row_checks)])).alias("s")).select("s.*"))
-    for c in uniq:
-        dup = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column).count()
-               .filter(F.col("count") > 1))
-        parts.append(dup.agg(F.count(F.lit(1)).cast("long").alias("failures")).select(
-            F.lit(c.column).alias("column_name"), F.lit("unique").alias("test"), "failures"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.lit(table_name).alias("table_name"), "column_name", "test", "failures")
+    recs = []
+    for i, c in enumerate(checks):
+        col = F.col(c.column)
+        if c.test == "not_null":
+            key, bad = F.lit(None).cast("string"), col.isNull()
+        elif c.test == "accepted_values":
+            key, bad = F.lit(None).cast("string"), col.isNotNull() & ~col.isin(list(c.values))
+        else:
+            key, bad = col.cast("string"), F.lit(False)
+        recs.append(F.struct(F.lit(i).alias("i"), key.alias("k"), bad.alias("bad")))
+    per_key = (df.select(F.explode(F.array(*recs)).alias("r"))
+               .groupBy(F.col("r.i").alias("i"), F.col("r.k").alias("k"))
+               .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("r.bad")).alias("bad")))
+    per_check = per_key.groupBy("i").agg(
+        F.sum("bad").alias("bad_rows"),
+        F.count_if(F.col("k").isNotNull() & (F.col("n") > 1)).alias("dup_keys"))
+    meta = df.sparkSession.createDataFrame(
+        [(i, c.column, c.test) for i, c in enumerate(checks)], "i int, column_name string, test string")
+    # ``meta`` has one row per declared check: a bounded broadcast.
+    out = F.broadcast(meta).join(per_check, "i", "left")
+    failures = F.when(F.col("test") == "unique", F.col("dup_keys")).otherwise(F.col("bad_rows"))
+    return out.select(F.lit(table_name).alias("table_name"), "column_name", "test",
+                      F.coalesce(failures, F.lit(0)).cast("long").alias("failures"))
 
 
 def gate(report: DataFrame, on_fail: str = "raise") -> list:

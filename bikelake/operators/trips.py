@@ -76,17 +76,41 @@ def _resolved(df: DataFrame, ts, id_col, name_col, lat, lng,
     )
 
 
+def _mean(total: str, n: str):
+    """``avg`` from partial sums; NULL when there is no value (no division by zero)."""
+    return F.when(F.col(n) > 0, F.col(total) / F.col(n))
+
+
+def _pre_aggregate(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash pre-aggregation on (keys, name): count and coordinate sums.
+
+    ``max(string)`` cannot use a fixed-width hash buffer and would turn the whole
+    aggregate into a sort-based one over every input row; grouping by the name
+    first keeps the heavy step a (partial) hash aggregate, and only one row per
+    distinct name reaches the sort-based ``max``.
+    """
+    return df.groupBy(*keys, "station_name_raw").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("_lat").alias("_sl"), F.count("_lat").alias("_cl"),
+        F.sum("_lng").alias("_sg"), F.count("_lng").alias("_cg"))
+
+
 def monthly_side(df: DataFrame, ts, id_col, name_col, lat, lng,
                  mapping: DataFrame | None = None, count_as: str = "departures",
                  map_key: str = "station_id") -> DataFrame:
     """Monthly departures (or arrivals) per canonical station (A2/A3)."""
     r = _resolved(df, ts, id_col, name_col, lat, lng, mapping, map_key)
+    p = _pre_aggregate(r, FLOW_KEYS)
     return (
-        r.groupBy(*FLOW_KEYS)
+        p.groupBy(*FLOW_KEYS)
         .agg(F.max("station_name_raw").alias("station_name"),
-             round_decimal(F.avg("_lat"), 6).alias("station_lat"),
-             round_decimal(F.avg("_lng"), 6).alias("station_lng"),
-             F.count(F.lit(1)).alias(count_as))
+             F.sum("_sl").alias("_sl"), F.sum("_cl").alias("_cl"),
+             F.sum("_sg").alias("_sg"), F.sum("_cg").alias("_cg"),
+             F.sum("_n").alias(count_as))
+        .select(*FLOW_KEYS, "station_name",
+                round_decimal(_mean("_sl", "_cl"), 6).alias("station_lat"),
+                round_decimal(_mean("_sg", "_cg"), 6).alias("station_lng"),
+                count_as)
     )
 
 
@@ -150,19 +174,27 @@ def monthly_flow(dep_rows: DataFrame, arr_rows: DataFrame, mapping: DataFrame |
 
         u = tagged(dep_rows, dep, True).unionByName(tagged(arr_rows, arr, False))
     null_part = F.when(F.col("ride_year").isNull() | F.col("ride_month").isNull(), F.col("_dep"))
+    u = u.withColumn("_nullside", null_part)
+    p = _pre_aggregate(u, FLOW_KEYS + ["_nullside", "_dep"])
     d, a = F.col("_dep"), ~F.col("_dep")
+
+    def side_sum(cond, c):
+        return F.sum(F.when(cond, F.col(c)))
+
     g = (
-        u.groupBy(*FLOW_KEYS, null_part.alias("_nullside"))
+        p.groupBy(*FLOW_KEYS, "_nullside")
         .agg(
             F.max(F.when(d, F.col("station_name_raw"))).alias("_dname"),
             F.max(F.when(a, F.col("station_name_raw"))).alias("_aname"),
-            F.avg(F.when(d, F.col("_lat"))).alias("_dlat"),
-            F.avg(F.when(a, F.col("_lat"))).alias("_alat"),
-            F.avg(F.when(d, F.col("_lng"))).alias("_dlng"),
-            F.avg(F.when(a, F.col("_lng"))).alias("_alng"),
-            F.count_if(d).alias("departures"),
-            F.count_if(a).alias("arrivals"),
+            side_sum(d, "_sl").alias("_dsl"), side_sum(d, "_cl").alias("_dcl"),
+            side_sum(a, "_sl").alias("_asl"), side_sum(a, "_cl").alias("_acl"),
+            side_sum(d, "_sg").alias("_dsg"), side_sum(d, "_cg").alias("_dcg"),
+            side_sum(a, "_sg").alias("_asg"), side_sum(a, "_cg").alias("_acg"),
+            F.coalesce(side_sum(d, "_n"), F.lit(0)).alias("departures"),
+            F.coalesce(side_sum(a, "_n"), F.lit(0)).alias("arrivals"),
         )
+        .withColumns({"_dlat": _mean("_dsl", "_dcl"), "_alat": _mean("_asl", "_acl"),
+                      "_dlng": _mean("_dsg", "_dcg"), "_alng": _mean("_asg", "_acg")})
     )
     return _finish_flow(g.select(
         *FLOW_KEYS,

@@ -183,7 +183,7 @@ _SUITE_SOURCES = {
 def q_dq_suite(spark: SparkSession, sf: str) -> DataFrame:
     """The declared tests of the four gold models, one report."""
     from bikelake.plans.catalog import QUERIES
-    out = None
+    out = None  # QUERIES holds the gold bindings: this module imports bind_gold
     for model, q in _SUITE_SOURCES.items():
         rep = run_checks(QUERIES[q](spark, sf), suite_checks()[model], model)
         out = rep if out is None else out.unionByName(rep)

@@ -27,5 +27,8 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-# Register all bindings (modules add themselves to QUERIES on import).
-from bikelake.plans import bind_gold, bind_silver, bind_profile, bind_io, bind_flows  # noqa: E402,F401
+def registry() -> tuple[dict, dict]:
+    """Import every binding module (each registers its queries) and return
+    ``(QUERIES, ORACLE_SQL)``."""
+    from bikelake.plans import bind_flows, bind_gold, bind_io, bind_profile, bind_silver  # noqa: F401
+    return QUERIES, ORACLE_SQL
