@@ -132,8 +132,14 @@ def profile_describe(df: DataFrame, cols: Sequence[str], exact: bool = True,
         else:
             qdf = v.agg(F.percentile_approx("v", list(_QUANTILES), accuracy).alias("qa")).select(
                 *[F.col("qa")[i].alias(f"q{int(q * 100)}") for i, q in enumerate(_QUANTILES)])
-        # Both sides are one-row aggregates: tag and join them on a constant key.
-        row = basic.withColumn("_one", F.lit(1)).join(qdf.withColumn("_one", F.lit(1)), "_one")
+        # Both sides are one-row aggregates: stack them and take the non-NULL value
+        # of every column (no join, no cross product).
+        qcols = [f"q{int(q * 100)}" for q in _QUANTILES]
+        bcols = ["count", "mean", "std", "min", "max"]
+        stacked = basic.select(F.col("count").cast("double").alias("count"), *bcols[1:],
+                         *[F.lit(None).cast("double").alias(x) for x in qcols]) \
+            .unionByName(qdf.select(*[F.lit(None).cast("double").alias(x) for x in bcols], *qcols))
+        row = stacked.agg(*[F.max(x).alias(x) for x in bcols + qcols])
         row = row.select(
             F.lit(c).alias("column_name"), F.col("count").cast("long").alias("count"),
             *[round_decimal(F.col(x), 6).alias(x) for x in ("mean", "std", "min")],

@@ -49,6 +49,22 @@ def hourly_demand(df: DataFrame, ts: str = "started_at",
     )
 
 
+def resolve_entity(df: DataFrame, mapping: DataFrame, id_col: str, name_col: str | None = None,
+                   key_out: str = "station_key", name_out: str = "station_name",
+                   map_key: str = "station_id") -> DataFrame:
+    """Canonical key (and name) for every row (J2, X10): LEFT JOIN the mapping on the id;
+    an unmapped id falls back to itself, an unmapped name to the row's own name.
+    The mapping is broadcast only when its size is proven small."""
+    m = mapping.select(F.col(map_key).alias("_mid"),
+                       F.col("canonical_station_key").alias("_mkey"),
+                       F.col("canonical_station_name").alias("_mname"))
+    j = lookup_join(df, m, F.col(id_col) == F.col("_mid"))
+    out = j.withColumn(key_out, F.coalesce("_mkey", F.col(id_col)))
+    if name_col is not None:
+        out = out.withColumn(name_out, F.coalesce("_mname", F.col(name_col)))
+    return out.drop("_mid", "_mkey", "_mname")
+
+
 def _resolved(df: DataFrame, ts, id_col, name_col, lat, lng,
               mapping: DataFrame | None, map_key: str, carry=()) -> DataFrame:
     """Rows with a non-blank id, resolved to a canonical key."""
@@ -64,16 +80,10 @@ def _resolved(df: DataFrame, ts, id_col, name_col, lat, lng,
     if mapping is None:
         return side.select("ride_year", "ride_month", F.col("_id").alias("station_key"),
                            F.col("_name").alias("station_name_raw"), "_lat", "_lng", *carry)
-    m = mapping.select(F.col(map_key).alias("_mid"),
-                       F.col("canonical_station_key").alias("_mkey"),
-                       F.col("canonical_station_name").alias("_mname"))
-    joined = lookup_join(side, m, F.col("_id") == F.col("_mid"))
-    return joined.select(
-        "ride_year", "ride_month",
-        F.coalesce("_mkey", "_id").alias("station_key"),
-        F.coalesce("_mname", "_name").alias("station_name_raw"),
-        "_lat", "_lng", *carry,
-    )
+    joined = resolve_entity(side, mapping, "_id", "_name", key_out="station_key",
+                            name_out="station_name_raw", map_key=map_key)
+    return joined.select("ride_year", "ride_month", "station_key", "station_name_raw",
+                         "_lat", "_lng", *carry)
 
 
 def _mean(total: str, n: str):

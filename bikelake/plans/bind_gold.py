@@ -138,17 +138,15 @@ def q_monthly_flow(spark: SparkSession, sf: str) -> DataFrame:
 def q_entity_resolution(spark: SparkSession, sf: str) -> DataFrame:
     """Seed load (S9) + lookup (J2): the mapping is written as a seed CSV, read
     back with an explicit string schema, checked unique and broadcast by size."""
-    from bikelake.operators.joins import lookup_join
+    from bikelake.operators.trips import resolve_entity
     seed = scratch_path(spark, "seed")
     station_mapping(spark, sf).coalesce(1).write.option("header", True).csv(seed)
     dim = load_dim(spark, seed, "station_id string, canonical_station_key string, "
                                 "canonical_station_name string")
     s = load_table(spark, sf, "supplier").withColumn(
         "station_id", normalize_id(F.col("s_suppkey").cast("string")))
-    j = lookup_join(s, dim, "station_id")
-    return j.select("s_suppkey", "station_id",
-                    F.coalesce("canonical_station_key", "station_id").alias("station_key"),
-                    F.coalesce("canonical_station_name", "s_name").alias("station_name"))
+    j = resolve_entity(s, dim, "station_id", "s_name")
+    return j.select("s_suppkey", "station_id", "station_key", "station_name")
 
 
 def supplier_stations(spark: SparkSession, sf: str) -> DataFrame:
