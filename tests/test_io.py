@@ -210,3 +210,59 @@ def test_incremental_state_equals_full(spark):
         .select("k", "m.ts", "m.v")
     assert _sorted(spark.table(name)) == _sorted(full)
     assert table_version(spark, name) == 3
+
+
+# --- flows ---------------------------------------------------------------------
+
+def _info_doc(ts, stations):
+    return {"last_updated": ts, "ttl": 60, "version": "2.3", "data": {"stations": stations}}
+
+
+def test_live_flow_twice_merges(spark):
+    from bikelake.plans.flows import run_live
+    base = _tmp()
+    cfg = Config(f"mobility_t{uuid.uuid4().hex[:6]}", base)
+    info = [{"station_id": "1", "name": "W 4 St", "lat": 1.0, "lon": 2.0, "capacity": 20,
+             "region_id": "r", "is_charging": False},
+            {"station_id": "2", "name": "E 9 Ave", "lat": 1.5, "lon": 2.5, "capacity": 10,
+             "region_id": "r", "is_charging": True}]
+    _write(cfg.landing("station_information"), "i1.json", _info_doc(100, info))
+    _write(cfg.landing("station_status"), "s1.json", _info_doc(100, [
+        {"station_id": "1", "num_bikes_available": 0, "num_docks_available": 20, "num_bikes_disabled": 1,
+         "num_docks_disabled": 0, "num_ebikes_available": 0, "is_installed": True, "is_renting": True,
+         "is_returning": True, "last_reported": 90},
+        {"station_id": "2", "num_bikes_available": 5, "num_docks_available": 5, "num_bikes_disabled": 0,
+         "num_docks_disabled": 0, "num_ebikes_available": 1, "is_installed": 1, "is_renting": 1,
+         "is_returning": 1, "last_reported": 95}]))
+    names = run_live(spark, cfg)
+    q = {r["station_id"]: r for r in spark.table(names["queue"]).collect()}
+    assert set(q) == {"1"} and q["1"]["health_status"] == "NO_BIKES" and q["1"]["priority_rank"] == 1
+    # a later snapshot: station 1 refilled, station 2 drained -> MERGE updates both
+    _write(cfg.landing("station_status"), "s2.json", _info_doc(200, [
+        {"station_id": "1", "num_bikes_available": 10, "num_docks_available": 10, "num_bikes_disabled": 0,
+         "num_docks_disabled": 0, "num_ebikes_available": 0, "is_installed": True, "is_renting": True,
+         "is_returning": True, "last_reported": 190},
+        {"station_id": "2", "num_bikes_available": 5, "num_docks_available": 0, "num_bikes_disabled": 0,
+         "num_docks_disabled": 0, "num_ebikes_available": 0, "is_installed": 1, "is_renting": 1,
+         "is_returning": 1, "last_reported": 195}]))
+    names = run_live(spark, cfg)
+    assert spark.table(names["bronze_status"]).count() == 4          # incremental append
+    silver = {r["station_id"]: r for r in spark.table(names["silver"]).collect()}
+    assert silver["1"]["num_bikes_available"] == 10 and silver["1"]["address"] == "W4 St"
+    assert table_version(spark, names["silver"]) == 2                 # created, then merged
+    q = {r["station_id"]: r for r in spark.table(names["queue"]).collect()}
+    assert set(q) == {"2"} and q["2"]["health_status"] == "NO_DOCKS"
+
+
+def test_profile_report_and_resolve_entity(spark):
+    from bikelake.operators.profile import profile_report
+    from bikelake.operators.trips import resolve_entity
+    df = spark.createDataFrame([("1.1", "a"), ("2", None), (None, "c")], "id string, name string")
+    rep = profile_report(df, n=2)
+    assert rep["rows"] == 3 and rep["columns"] == ["id", "name"] and rep["dtypes"]["id"] == "string"
+    assert rep["sample"].count() == 2
+    m = spark.createDataFrame([("1.1", "k", "K")], "station_id string, canonical_station_key string, "
+                                                   "canonical_station_name string")
+    got = sorted((tuple(r) for r in resolve_entity(df, m, "id", "name").collect()),
+                 key=lambda r: (r[0] is None, r[0] or ""))
+    assert got == [("1.1", "a", "k", "K"), ("2", None, "2", None), (None, "c", None, "c")]

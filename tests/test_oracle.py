@@ -4,7 +4,10 @@ Runs at ``$BIKELAKE_ORACLE_SF`` (default sf0.001 to keep the suite fast; the
 gate itself is sf0.01: ``python tools/check.py /root/testdata/sf0.01``).
 """
 
+import contextlib
+import io
 import os
+import re
 
 import pytest
 
@@ -25,11 +28,40 @@ def test_every_key_has_an_oracle():
     assert not missing, f"no oracle for {missing}"
 
 
+# Plan nodes that must never appear: cross products, per-row / per-group Python.
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas"]
+WINDOW = re.compile(r"\(\d+\) Window\nInput \[\d+\]: \[(.*)\]\nArguments: (.*)")
+
+
+def unpartitioned_windows(plan: str) -> list[str]:
+    """Window nodes without PARTITION BY (they run in a single task), except the
+    rank offsets, whose input is one row per partition (``_p, _n``)."""
+    bad = []
+    for inputs, args in WINDOW.findall(plan):
+        partitioned = args.count("], [") >= 2
+        offsets = [c.split("#")[0] for c in inputs.split(", ")] == ["_p", "_n"]
+        if not partitioned and not offsets:
+            bad.append(args[:120])
+    return bad
+
+
+def plan_of(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     ok, msg = compare(df, con, E.oracle_sql()[key])
     assert ok, f"{key}: {msg}"
+    plan = plan_of(df)
+    for node in FORBIDDEN:
+        assert node not in plan, f"{key}: {node} in plan"
+    assert not unpartitioned_windows(plan), f"{key}: unpartitioned window"
 
 
 def test_entry_smoke(spark):
