@@ -40,7 +40,7 @@ _LIVE_SQL = f"""
       select cast(c_custkey as varchar) as station_id,
              concat(' ', ['W','E','N','S'][c_custkey % 4 + 1], '  ', cast(c_nationkey as varchar), ' St & ',
                     c_mktsegment, ' ') as name,
-             c_acctbal / 97.0 as lat, c_nationkey * 1.5 as lon, cast(c_nationkey + 5 as bigint) as capacity
+             c_acctbal / 97.0 as lat, cast(c_nationkey * 1.5 as double) as lon, cast(c_nationkey + 5 as bigint) as capacity
       from customer where c_custkey in (select user_id from events)),
     li as (
       select station_id, regexp_replace(trim(name), '\\b([NSEW])\\s+(\\d+)\\b', '\\1\\2', 'g') as address,

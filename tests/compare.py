@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -24,15 +25,18 @@ def duck(sf_dir: str):
     return con
 
 
+STRICT = os.environ.get("BIKELAKE_STRICT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if STRICT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
-        return float(f"{float(v):.9g}")
+        return float(v) if STRICT else float(f"{float(v):.9g}")
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):
@@ -80,3 +84,22 @@ def compare(df, con, sql):
             if a != b:
                 return False, f"first differing row:\n spark={a}\n duck ={b}"
     return True, f"{len(srows)} rows"
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "date": "DATE", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_diffs(df, con, sql):
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    dtypes = dict(df.dtypes)
+    rel = con.sql(sql)
+    out = []
+    for name, t in zip(rel.columns, rel.types):
+        st = dtypes.get(name)
+        if st is None:
+            continue
+        if SPARK_TO_DUCK.get(st, st.upper()) != str(t):
+            out.append(f"{name}: spark={st} duck={t}")
+    return out
