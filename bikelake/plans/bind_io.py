@@ -24,8 +24,7 @@ from bikelake.session import scratch_path
 from bikelake.sinks.landing import JSON_TS_FORMAT, land_snapshots, read_landed
 from bikelake.sinks.tables import publish, upsert
 from bikelake.sources.files import feed_url
-from bikelake.sources.schemas import (DISCOVERY, STATION_STATUS, TRIP_COLUMNS, all_strings,
-                                      envelope)
+from bikelake.sources.schemas import DISCOVERY, STATION_STATUS, TRIP_COLUMNS, all_strings
 from bikelake.sources.tables import load_table
 from bikelake.streaming.ingest import clean_trips_stream, ingest_snapshots, ingest_trips
 from bikelake.streaming.state import incremental_state
@@ -133,6 +132,8 @@ STATUS_ELEMENT_SQL = """
            case when event_type = 'signup' then '0' else '1' end as is_renting,
            case when event_type in ('signup', 'view') then '0' else '1' end as is_returning,
            cast(floor(epoch(ts)) as bigint) as last_reported,
+           -- event_id is not in the status contract: it is rescued, value as a string
+           '{"event_id":"' || cast(event_id as varchar) || '"}' as _rescued_data,
            max(cast(floor(epoch(ts)) as bigint)) over (partition by cast(ts as date), event_id // 256)
              as last_updated,
            cast(60 as bigint) as ttl
@@ -140,9 +141,10 @@ STATUS_ELEMENT_SQL = """
 
 
 def _write_status_docs(spark: SparkSession, sf: str, path: str) -> None:
-    docs = derive.status_documents(load_table(spark, sf, "events"))
-    # one JSON-lines file per day: the stream sees them as separate new files
-    docs.repartition("_day").drop("_day").write.json(path)
+    docs = derive.status_documents(load_table(spark, sf, "events")).drop("_day")
+    # landed under day folders: the stream sees several files, one batch per few files
+    land_snapshots(docs.withColumn("_ts", F.timestamp_seconds("last_updated")), path, "_ts",
+                   grain="day", drop_ts=True)
 
 
 @query("bronze_stream_explode", sql=STATUS_ELEMENT_SQL)
@@ -151,9 +153,9 @@ def q_bronze_stream_explode(spark: SparkSession, sf: str) -> DataFrame:
     explode ``data.stations`` + flatten + lineage -> checkpointed append."""
     base = scratch_path(spark, "bronze_status")
     _write_status_docs(spark, sf, f"{base}/in")
-    ingest_snapshots(spark, f"{base}/in", envelope(STATION_STATUS), f"{base}/ckpt",
+    ingest_snapshots(spark, f"{base}/in", STATION_STATUS, f"{base}/ckpt",
                      path=f"{base}/out", multi_line=False, max_files=8)
-    cols = [f.name for f in STATION_STATUS.fields] + ["last_updated", "ttl"]
+    cols = [f.name for f in STATION_STATUS.fields] + ["_rescued_data", "last_updated", "ttl"]
     return spark.read.parquet(f"{base}/out").select(*cols)
 
 

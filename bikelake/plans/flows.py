@@ -22,8 +22,8 @@ from bikelake.operators.stations import rebalancing_queue, station_health
 from bikelake.operators.trips import hourly_demand, monthly_flow
 from bikelake.plans.gold_tests import GOLD_TESTS
 from bikelake.sinks.tables import publish, upsert
-from bikelake.sources.schemas import STATION_INFORMATION, STATION_STATUS, TRIP_COLUMNS, all_strings, envelope
-from bikelake.streaming.ingest import clean_trips_stream, ingest_snapshots, ingest_trips
+from bikelake.sources.schemas import STATION_INFORMATION, STATION_STATUS, TRIP_COLUMNS, all_strings
+from bikelake.streaming.ingest import clean_trips_stream, ingest_snapshots, ingest_trips, run
 
 TRIP_DEPARTURES = dict(ts="started_at", id="start_station_id", name="start_station_name",
                        lat="start_lat", lng="start_lng")
@@ -43,13 +43,20 @@ def run_live(spark: SparkSession, cfg: Config, multi_line: bool = True,
     """Live flow; returns the names of the tables it wrote."""
     cfg.ensure_databases(spark)
     info_b, status_b = cfg.table("bronze", "station_information"), cfg.table("bronze", "station_status")
-    ingest_snapshots(spark, cfg.landing("station_information"), envelope(STATION_INFORMATION),
-                     cfg.checkpoint("bronze", "station_information"),
-                     path=cfg.data("bronze", "station_information"), table=info_b, multi_line=multi_line)
-    ingest_snapshots(spark, cfg.landing("station_status"), envelope(STATION_STATUS),
-                     cfg.checkpoint("bronze", "station_status"),
-                     path=cfg.data("bronze", "station_status"), table=status_b,
-                     multi_line=multi_line if multi_line_status is None else multi_line_status)
+    # The two bronze feeds are independent streams: run them concurrently.
+    streams = [
+        ingest_snapshots(spark, cfg.landing("station_information"), STATION_INFORMATION,
+                         cfg.checkpoint("bronze", "station_information"),
+                         path=cfg.data("bronze", "station_information"), table=info_b,
+                         multi_line=multi_line, wait=False),
+        ingest_snapshots(spark, cfg.landing("station_status"), STATION_STATUS,
+                         cfg.checkpoint("bronze", "station_status"),
+                         path=cfg.data("bronze", "station_status"), table=status_b,
+                         multi_line=multi_line if multi_line_status is None else multi_line_status,
+                         wait=False),
+    ]
+    for q in streams:
+        run(q)
     silver = cfg.table("silver", "stations")
     upsert(silver, silver_stations(spark.table(info_b), spark.table(status_b)), ["station_id"], cfg.root)
     health = _published_and_tested(station_health(spark.table(silver)), cfg, "station_live_health",

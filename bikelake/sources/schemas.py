@@ -60,7 +60,7 @@ DISCOVERY = StructType([
 ])
 
 
-def envelope(element: StructType, extra: StructType | None = None) -> StructType:
+def envelope(element, extra: StructType | None = None) -> StructType:
     """Snapshot document: ``last_updated, ttl, version, data.stations[]``."""
     fields = [
         StructField("last_updated", LongType()),
@@ -71,6 +71,12 @@ def envelope(element: StructType, extra: StructType | None = None) -> StructType
     return StructType(fields + (list(extra.fields) if extra else []))
 
 
+def raw_envelope() -> StructType:
+    """Snapshot document with every ``data.stations`` element kept as its raw JSON text,
+    so elements can be parsed against the contract *and* keep what does not fit."""
+    return envelope(StringType())
+
+
 def all_strings(columns, partitions: dict[str, DataType] | None = None) -> StructType:
     """All-string schema for a header CSV plus typed partition columns."""
     fields = [StructField(c, StringType()) for c in columns]

@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from bikelake.operators.silver import clean_trips
 from bikelake.sources.files import (read_csv_stream, read_json_stream, table_stream,
                                     with_source_file)
+from bikelake.sources.schemas import raw_envelope, with_rescued
 
 ENVELOPE_COLUMNS = ["last_updated", "ttl"]
 
@@ -40,9 +41,21 @@ def explode_snapshot(df: DataFrame, array_path: str = "data.stations",
             .select("_element.*", *carry))
 
 
-def bronze_snapshot(raw: DataFrame) -> DataFrame:
-    """Bronze transform of a snapshot feed: lineage, explode, audit."""
-    return with_audit(explode_snapshot(with_source_file(raw)))
+def bronze_snapshot(raw: DataFrame, element: StructType | None = None) -> DataFrame:
+    """Bronze transform of a snapshot feed: lineage, explode, audit.
+
+    With ``element`` the stream was read with raw element strings
+    (``raw_envelope``): each element is parsed against the contract and keys that
+    are unknown, or whose value does not fit the contracted type, are kept in
+    ``_rescued_data`` (schema drift never fails ingestion and loses nothing).
+    """
+    df = with_source_file(raw)
+    if element is None:
+        return with_audit(explode_snapshot(df))
+    carry = [c for c in ENVELOPE_COLUMNS + ["_source_file"] if c in df.columns]
+    rows = df.select(F.explode("data.stations").alias("_element"), *carry)
+    parsed = with_rescued(rows, "_element", element).select("_parsed.*", "_rescued_data", *carry)
+    return with_audit(parsed)
 
 
 def bronze_trips(raw: DataFrame) -> DataFrame:
@@ -74,12 +87,18 @@ def run(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def ingest_snapshots(spark: SparkSession, source: str, schema: StructType, checkpoint: str,
+def ingest_snapshots(spark: SparkSession, source: str, element: StructType, checkpoint: str,
                      path: str | None = None, table: str | None = None,
-                     multi_line: bool = True, max_files: int | None = None) -> StreamingQuery:
-    """Bronze job for a JSON snapshot feed (station information / status)."""
-    raw = read_json_stream(spark, source, schema, multi_line=multi_line, max_files=max_files)
-    return run(append_stream(bronze_snapshot(raw), checkpoint, path=path, table=table))
+                     multi_line: bool = True, max_files: int | None = None,
+                     wait: bool = True) -> StreamingQuery:
+    """Bronze job for a JSON snapshot feed (station information / status).
+
+    ``element`` is the contract of one ``data.stations`` element; unknown or
+    mistyped element fields land in ``_rescued_data``.
+    """
+    raw = read_json_stream(spark, source, raw_envelope(), multi_line=multi_line, max_files=max_files)
+    q = append_stream(bronze_snapshot(raw, element), checkpoint, path=path, table=table)
+    return run(q) if wait else q
 
 
 def ingest_trips(spark: SparkSession, source: str, schema: StructType, checkpoint: str,

@@ -15,8 +15,7 @@ from bikelake.operators.silver import latest_information, latest_status, silver_
 from bikelake.sinks.landing import land_snapshots, read_landed
 from bikelake.sinks.tables import merge_frames, publish, table_version, upsert
 from bikelake.sources.files import feed_url, load_dim
-from bikelake.sources.schemas import (DISCOVERY, STATION_INFORMATION, STATION_STATUS, envelope,
-                                      infer_schema, with_rescued)
+from bikelake.sources.schemas import DISCOVERY, STATION_STATUS, infer_schema, with_rescued
 from bikelake.streaming.ingest import ingest_snapshots
 from bikelake.streaming.state import incremental_state
 
@@ -103,10 +102,8 @@ def test_snapshot_stream_incremental_and_drift(spark):
          "is_installed": 1, "is_renting": 0, "is_returning": 0, "last_reported": 95}]))
     _write(src, "s2.json", {"last_updated": 101, "ttl": 60})               # missing data
     _write(src, "s3.json", _doc(102, []))                                 # empty stations
-    schema = envelope(STATION_STATUS)
-
     def run():
-        ingest_snapshots(spark, src, schema, ckpt, path=out)
+        ingest_snapshots(spark, src, STATION_STATUS, ckpt, path=out)
         return spark.read.parquet(out)
 
     first = run()
@@ -114,6 +111,9 @@ def test_snapshot_stream_incremental_and_drift(spark):
     r = {x["station_id"]: x for x in first.collect()}
     assert r["1"]["is_installed"] == "true" and r["2"]["num_bikes_available"] is None
     assert r["1"]["_source_file"].endswith("s1.json") and r["1"]["last_updated"] == 100
+    # unknown field and mistyped known field are rescued, not lost
+    assert json.loads(r["1"]["_rescued_data"]) == {"brand_new_field": "x"}
+    assert json.loads(r["2"]["_rescued_data"]) == {"num_bikes_available": "oops"}
     assert run().count() == 2                                             # no new file: nothing appended
     _write(src, "s4.json", _doc(200, [{"station_id": "1", "num_bikes_available": 0,
                                        "num_docks_available": 10, "is_installed": "true",
