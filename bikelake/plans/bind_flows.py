@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bikelake.config import Config
-from bikelake.functions.clean import normalize_id
 from bikelake.plans import derive
 from bikelake.plans.bind_gold import HEALTH_CTES, QUEUE_TAIL, SIDE_SQL, flow_sql
 from bikelake.plans.bind_io import CSV_EXACT, SILVER_TRIPS_SQL, STATUS_ELEMENT_SQL, _land_trips
@@ -102,5 +101,3 @@ def q_history_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     names = run_history(spark, cfg, mapping)
     return spark.table(names["flow"])
 
-
-assert normalize_id  # ids of the seed go through the same normalisation as the trips

@@ -79,13 +79,6 @@ def q_upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name)
 
 
-EVENT_JSON = StructType([
-    StructField("event_id", LongType()), StructField("ts", StringType()),
-    StructField("user_id", LongType()), StructField("event_type", StringType()),
-    StructField("value", StringType()),
-])
-
-
 @query("land_partitioned", sql="""
     select event_id, user_id, event_type, ts,
            cast(year(ts) as integer) as year, cast(month(ts) as integer) as month,

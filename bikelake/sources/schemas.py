@@ -8,7 +8,9 @@ value does not parse as the contracted type — are preserved in ``_rescued_data
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DataType, DoubleType, LongType,
                                StringType, StructField, StructType)
@@ -95,7 +97,7 @@ def infer_schema(spark: SparkSession, sample_path: str, store_path: str,
     try:
         stored = spark.read.text(store_path).collect()
         if stored:
-            return StructType.fromJson(__import__("json").loads(stored[0][0]))
+            return StructType.fromJson(json.loads(stored[0][0]))
     except Exception:  # noqa: BLE001 - nothing stored yet
         pass
     schema = spark.read.options(**options).format(fmt).load(sample_path).schema
@@ -129,9 +131,3 @@ def with_rescued(df: DataFrame, json_col: str, schema: StructType,
         parsed: typed,
         out: F.when(F.size(rescued) > 0, F.to_json(rescued)),
     })
-
-
-def rescued_of(raw_json: Column, known: list[str]) -> Column:
-    """Rescued JSON of the keys of ``raw_json`` that are not ``known``."""
-    m = F.map_filter(F.from_json(raw_json, "map<string,string>"), lambda k, v: ~k.isin(known))
-    return F.when(F.size(m) > 0, F.to_json(m))

@@ -1,7 +1,5 @@
 """Operators on explicit fixtures (FIXTURES.md section 7) and equivalences."""
 
-import datetime as dt
-
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -251,5 +249,3 @@ def test_checks_and_gate(spark):
     assert len(gate(rep, on_fail="warn")) == 3
     assert gate(run_checks(df.filter("id = 2"), [not_null("id")], "t")) == []
 
-
-assert dt  # used by fixtures elsewhere
