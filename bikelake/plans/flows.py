@@ -81,7 +81,7 @@ def run_history(spark: SparkSession, cfg: Config, mapping: DataFrame | None,
     ingest_trips(spark, cfg.landing("trips"), trip_schema(), cfg.checkpoint("bronze", "trips"),
                  path=cfg.data("bronze", "trips"), table=bronze)
     clean_trips_stream(spark, bronze, cfg.checkpoint("silver", "trips"),
-                       path=cfg.data("silver", "trips"), table=silver)
+                       path=cfg.data("silver", "trips"), table=silver, partition_by=("year", "month"))
     trips = spark.table(silver)
     demand = _published_and_tested(hourly_demand(trips), cfg, "hourly_trip_demand",
                                    demand_tests or GOLD_TESTS["hourly_trip_demand"], on_fail)

@@ -46,7 +46,9 @@ def publish(df: DataFrame, name: str, root: str, batch_id: int | None = None,
     spark = df.sparkSession
     v = table_version(spark, name) + 1
     path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v{v:06d}"
-    w = df.write.mode("errorifexists")
+    # The new version folder is not referenced by the table until the switch below,
+    # so a leftover of a failed attempt (lost executors, killed job) is overwritten.
+    w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -55,8 +57,7 @@ def publish(df: DataFrame, name: str, root: str, batch_id: int | None = None,
         props[BATCH_PROP] = str(batch_id)
     plist = ", ".join(f"'{k}'='{val}'" for k, val in props.items())
     exists = spark.catalog.tableExists(name)
-    same_schema = exists and spark.table(name).schema.simpleString() == \
-        spark.read.parquet(path).schema.simpleString()
+    same_schema = exists and spark.table(name).schema.simpleString() == df.schema.simpleString()
     if exists and same_schema and not partition_by:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({plist})")

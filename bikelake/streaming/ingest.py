@@ -65,12 +65,14 @@ def bronze_trips(raw: DataFrame) -> DataFrame:
 
 def append_stream(df: DataFrame, checkpoint: str, path: str | None = None,
                   table: str | None = None, fmt: str = "parquet",
-                  merge_schema: bool = False) -> StreamingQuery:
+                  merge_schema: bool = False, partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Checkpointed append of a streaming DataFrame, run to completion of the
     currently available input (``availableNow``)."""
     w = (df.writeStream.outputMode("append").format(fmt)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if merge_schema:
         w = w.option("mergeSchema", "true")
     if table:
@@ -110,7 +112,11 @@ def ingest_trips(spark: SparkSession, source: str, schema: StructType, checkpoin
 
 
 def clean_trips_stream(spark: SparkSession, bronze_table: str, checkpoint: str,
-                       path: str | None = None, table: str | None = None) -> StreamingQuery:
-    """Silver job: bronze trips table -> ``clean_trips`` -> append (ST3)."""
+                       path: str | None = None, table: str | None = None,
+                       partition_by: Sequence[str] = ()) -> StreamingQuery:
+    """Silver job: bronze trips table -> ``clean_trips`` -> append (ST3).
+
+    ``partition_by=("year", "month")`` lays the table out by the trip files'
+    month, so readers that filter on it prune whole folders."""
     return run(append_stream(clean_trips(table_stream(spark, bronze_table)), checkpoint,
-                             path=path, table=table))
+                             path=path, table=table, partition_by=partition_by))
