@@ -7,7 +7,6 @@ folder (``spark.checkpoint.dir``) used for checkpoints and scratch output.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,14 +66,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/bikelake-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               max_partition_bytes: int = 256 << 20) -> dict:
+    """Session settings sized to the input volume (for ``spark-submit --conf`` / builder).
 
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def makedirs_if_local(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
+    Shuffle partitions are chosen so that each holds about ``target_partition_bytes``
+    of the largest shuffled input (AQE coalesces small ones and splits skewed
+    ones); scan splits stay at ``max_partition_bytes`` so a task's input fits
+    comfortably in executor memory.  100 TB -> ~370k shuffle partitions.
+    """
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
