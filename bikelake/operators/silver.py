@@ -57,7 +57,7 @@ def clean_trips(df: DataFrame, strict: bool = False) -> DataFrame:
     return out.withColumn("_silver_processed_at", F.current_timestamp())
 
 
-def latest_information(info: DataFrame, method: str = "aggregate") -> DataFrame:
+def latest_information(info: DataFrame, method: str = "window") -> DataFrame:
     """Newest information record per station, cleaned and renamed."""
     df = info.select(
         "station_id",
@@ -74,7 +74,7 @@ def latest_information(info: DataFrame, method: str = "aggregate") -> DataFrame:
             .withColumnsRenamed({"_source_file": "information_source_file"}))
 
 
-def latest_status(status: DataFrame, method: str = "aggregate") -> DataFrame:
+def latest_status(status: DataFrame, method: str = "window") -> DataFrame:
     """Newest status record per station (W2, X6, P4, P5); flags as int."""
     df = status.select(
         "station_id", *STATUS_MEASURES,
@@ -88,7 +88,7 @@ def latest_status(status: DataFrame, method: str = "aggregate") -> DataFrame:
             .withColumnsRenamed({"_source_file": "status_source_file"}))
 
 
-def silver_stations(info: DataFrame, status: DataFrame, method: str = "aggregate") -> DataFrame:
+def silver_stations(info: DataFrame, status: DataFrame, method: str = "window") -> DataFrame:
     """Current state of every station: latest information LEFT JOIN latest status."""
     return (current_state(latest_information(info, method), latest_status(status, method))
             .withColumn("_silver_updated_at", F.current_timestamp()))
