@@ -27,6 +27,17 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
+def range_sorted(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``order``.
+
+    A unique last sort key lets the range partitioner split a hot value (a third
+    of all rows with equal keys) over several partitions; it only orders rows
+    that tie on every requested key, whose relative order row_number leaves open.
+    """
+    tie = F.monotonically_increasing_id().alias("_tie")
+    return df.select("*", tie).orderBy(*order, F.col("_tie")).drop("_tie")
+
+
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
                 distributed: bool = True) -> DataFrame:
     """Append ``name`` = 1..n following ``order`` (a total order gives a unique rank)."""
@@ -34,12 +45,7 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
     if not distributed:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     ensure_checkpoint_dir(df.sparkSession)
-    # A unique last sort key lets the range partitioner split a hot value (a third
-    # of all rows with equal keys) over several partitions; it only orders rows
-    # that tie on every requested key, whose relative order row_number leaves open.
-    tie = F.monotonically_increasing_id().alias("_tie")
-    tagged = (df.select("*", tie).orderBy(*order, F.col("_tie")).drop("_tie")
-              .withColumn("_rid", F.monotonically_increasing_id()))
+    tagged = range_sorted(df, order).withColumn("_rid", F.monotonically_increasing_id())
     tagged = tagged.checkpoint(eager=True)
     part = F.shiftright(F.col("_rid"), _POS_BITS)
     counts = tagged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
