@@ -98,9 +98,9 @@ def trip_rows(events: DataFrame) -> DataFrame:
         start_id.alias("start_station_id"),
         F.concat(F.lit(" E "), (c("user_id") % 50).cast("string"), F.lit("\tAve ")).alias("end_station_name"),
         end_id.alias("end_station_id"),
-        F.format_number(c("value") / F.lit(10.0), 4).alias("start_lat"),
+        F.format_string("%.4f", c("value") / F.lit(10.0)).alias("start_lat"),
         F.when(c("event_type") == "error", "").otherwise(c("user_id").cast("string")).alias("start_lng"),
-        F.when(c("event_type") == "view", "n/a").otherwise(F.format_number(c("value"), 2)).alias("end_lat"),
+        F.when(c("event_type") == "view", "n/a").otherwise(F.format_string("%.2f", c("value"))).alias("end_lat"),
         c("event_id").cast("string").alias("end_lng"),
         F.when(c("event_type").isin("click", "view"), " Member").otherwise("casual").alias("member_casual"),
     )
