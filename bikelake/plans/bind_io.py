@@ -147,7 +147,7 @@ def q_bronze_stream_explode(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "bronze_status")
     _write_status_docs(spark, sf, f"{base}/in")
     ingest_snapshots(spark, f"{base}/in", STATION_STATUS, f"{base}/ckpt",
-                     path=f"{base}/out", multi_line=False, max_files=8)
+                     path=f"{base}/out", multi_line=False, max_files=16)
     cols = [f.name for f in STATION_STATUS.fields] + ["_rescued_data", "last_updated", "ttl"]
     return spark.read.parquet(f"{base}/out").select(*cols)
 

@@ -121,8 +121,15 @@ def upsert(name: str, source: DataFrame, keys: Sequence[str], root: str,
            order_desc: Sequence[str] | None = None, batch_id: int | None = None) -> int:
     """Keyed upsert of ``source`` into table ``name`` (created when absent). Returns the version."""
     spark = source.sparkSession
-    assert_unique_source(source, keys)
-    if not spark.catalog.tableExists(name):
-        return publish(source, name, root, batch_id=batch_id)
-    merged = merge_frames(spark.table(name), source, keys, order_desc)
-    return publish(merged, name, root, batch_id=batch_id)
+    # The source feeds the uniqueness check, the size check of its keys and the
+    # write: keep it cached for the duration instead of evaluating it three times
+    # (a lost cached block is recomputed from lineage).
+    source = source.persist()
+    try:
+        assert_unique_source(source, keys)
+        if not spark.catalog.tableExists(name):
+            return publish(source, name, root, batch_id=batch_id)
+        merged = merge_frames(spark.table(name), source, keys, order_desc)
+        return publish(merged, name, root, batch_id=batch_id)
+    finally:
+        source.unpersist()

@@ -114,8 +114,12 @@ def with_rescued(df: DataFrame, json_col: str, schema: StructType,
     not in the schema, plus every known key whose value failed to parse
     (typed NULL, raw value present); NULL when nothing was rescued.
     """
-    raw = F.from_json(F.col(json_col), "map<string,string>")
-    typed = F.from_json(F.col(json_col), schema)
+    # Parse once into columns; the rescue below reads these columns many times
+    # (Spark does not share a parse across conditional branches / lambdas, and
+    # does not inline a non-cheap expression into several consumers).
+    df = df.withColumns({"_raw_map": F.from_json(F.col(json_col), "map<string,string>"),
+                         parsed: F.from_json(F.col(json_col), schema)})
+    raw, typed = F.col("_raw_map"), F.col(parsed)
     known = [f.name for f in schema.fields]
     unknown = F.map_filter(raw, lambda k, v: ~k.isin(known)) if known else raw
     if known:
@@ -127,7 +131,4 @@ def with_rescued(df: DataFrame, json_col: str, schema: StructType,
         rescued = F.map_concat(unknown, F.map_from_entries(bad_arr))
     else:
         rescued = unknown
-    return df.withColumns({
-        parsed: typed,
-        out: F.when(F.size(rescued) > 0, F.to_json(rescued)),
-    })
+    return df.withColumn(out, F.when(F.size(rescued) > 0, F.to_json(rescued))).drop("_raw_map")

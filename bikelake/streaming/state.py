@@ -41,11 +41,8 @@ def incremental_state(stream: DataFrame, table: str, root: str, keys: Sequence[s
         if spark.catalog.tableExists(table) and last_batch(spark, table) >= batch_id:
             return  # already applied before a restart
         rows = prepare(batch) if prepare else batch
-        latest = latest_per_key(rows, keys, order_desc).persist()
-        try:
-            upsert(table, latest, keys, root, order_desc=order_desc, batch_id=batch_id)
-        finally:
-            latest.unpersist()
+        upsert(table, latest_per_key(rows, keys, order_desc), keys, root,
+               order_desc=order_desc, batch_id=batch_id)
 
     q = (stream.writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint)
