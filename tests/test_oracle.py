@@ -68,3 +68,21 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "total_trips" in df.columns
+
+
+def test_queue_invariants(spark):
+    """Scores stay inside their class range and ranks are a permutation of 1..n."""
+    from pyspark.sql import functions as F
+    q = E.queries()["rebalancing_queue"](spark, SF)
+    rows = q.select("priority_rank", "health_status", "priority_score", "priority_level").collect()
+    n = len(rows)
+    assert sorted(r["priority_rank"] for r in rows) == list(range(1, n + 1))
+    for r in rows:
+        s, h = r["priority_score"], r["health_status"]
+        if h in ("NO_BIKES", "NO_DOCKS"):
+            assert s == 100.0 and r["priority_level"] == "CRITICAL"
+        elif h == "OUT_OF_SERVICE":
+            assert s == 95.0 and r["priority_level"] == "HIGH"
+        else:
+            assert 80.0 <= s <= 90.0 and r["priority_level"] == "MEDIUM"
+    assert q.filter(F.col("health_status") == "HEALTHY").count() == 0
