@@ -21,9 +21,25 @@ def with_session_timestamps(df: DataFrame) -> DataFrame:
                       for c in df.columns])
 
 
-def load_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer input files than task slots over all of them.
+
+    Parquet is split by row group; a single-file, single-row-group table (the test
+    tables) is read by ONE task, so every operator before the first shuffle would
+    run single-threaded.  A round-robin repartition fixes that for such inputs.
+    Real inputs (many files) are returned unchanged, so at scale the plan keeps
+    its scan-side partial aggregation without an extra exchange.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if slots > 1 and len(df.inputFiles()) < slots:
+        return df.repartition(slots)
+    return df
+
+
+def load_table(spark: SparkSession, base: str, name: str, spread: bool = True) -> DataFrame:
     """Read ``{base}/{name}.parquet`` (file or folder) with session timestamps."""
-    return with_session_timestamps(spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet"))
+    df = with_session_timestamps(spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet"))
+    return spread_small_input(df) if spread else df
 
 
 def table(spark: SparkSession, name: str) -> DataFrame:
