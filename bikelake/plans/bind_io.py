@@ -176,7 +176,7 @@ TRIP_SCHEMA = all_strings(TRIP_COLUMNS, {"year": IntegerType(), "month": Integer
 
 
 def _land_trips(spark: SparkSession, sf: str, path: str) -> None:
-    rows = derive.trip_rows(load_table(spark, sf, "events"))
+    rows = derive.trip_rows(load_table(spark, sf, "events", spread=True))
     land_snapshots(rows, path, "_ts", grain="month", fmt="csv", drop_ts=True, **CSV_EXACT)
 
 

@@ -87,7 +87,7 @@ def q_current_state_join(spark: SparkSession, sf: str) -> DataFrame:
     from t""")
 def q_normalize_id(spark: SparkSession, sf: str) -> DataFrame:
     """X1 on ids built from lineitem keys: trailing ``_``, redundant zeros, zero fractions."""
-    li = load_table(spark, sf, "lineitem")
+    li = load_table(spark, sf, "lineitem", spread=True)
     raw = F.concat(F.lit(" "), F.col("l_orderkey").cast("string"), F.lit("."),
                    F.lpad((F.col("l_linenumber") * 10).cast("string"), 3, "0"),
                    F.repeat(F.lit("_"), F.col("l_linenumber") % 3), F.lit(" "))
@@ -122,14 +122,14 @@ _NAME_RAW = """concat('  ', case l_linenumber % 4 when 0 then 'W' when 1 then 'E
 def q_clean_name(spark: SparkSession, sf: str) -> DataFrame:
     """X2 (collapse whitespace + direction merge) and X3 (direction merge only) on
     built street names and on whole document texts (compared by md5)."""
-    li = load_table(spark, sf, "lineitem")
+    li = load_table(spark, sf, "lineitem", spread=True)
     raw = F.expr(_NAME_RAW.replace("varchar", "string"))
     names = li.select(F.lit("lineitem").alias("src"), F.col("l_orderkey").alias("row_key"),
                       F.col("l_linenumber").alias("line"), raw.alias("raw_name"))
     names = names.select("src", "row_key", "line", "raw_name",
                          clean_name("raw_name", True).alias("trip_name"),
                          clean_name("raw_name", False).alias("station_name"))
-    docs = load_table(spark, sf, "documents").select(
+    docs = load_table(spark, sf, "documents", spread=True).select(
         F.lit("documents").alias("src"), F.col("doc_id").alias("row_key"), F.lit(0).alias("line"),
         F.md5("text").alias("raw_name"),
         F.md5(clean_name("text", True)).alias("trip_name"),
@@ -165,7 +165,7 @@ def q_normalize_category(spark: SparkSession, sf: str) -> DataFrame:
     from t""")
 def q_typed_casts(spark: SparkSession, sf: str) -> DataFrame:
     """String -> int / double / timestamp with ``try_cast`` (bad input -> NULL), int -> long."""
-    li = load_table(spark, sf, "lineitem")
+    li = load_table(spark, sf, "lineitem", spread=True)
     ln = F.col("l_linenumber")
     qty_raw = (F.when(ln == 1, "n/a").when(ln == 2, "")
                .otherwise(F.col("l_quantity").cast("long").cast("string")))
@@ -229,7 +229,7 @@ def q_explode_array(spark: SparkSession, sf: str) -> DataFrame:
     from events""")
 def q_rescue_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Parse ``props`` with a contract that lacks ``k``; ``k`` lands in ``_rescued_data``."""
-    ev = load_table(spark, sf, "events")
+    ev = load_table(spark, sf, "events", spread=True)
     contract = StructType([StructField("id", LongType())])
     r = with_rescued(ev, "props", contract)
     return r.select("event_id", "_rescued_data", F.col("_parsed.id").alias("known_id"))
