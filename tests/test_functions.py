@@ -80,3 +80,11 @@ def test_flags(spark):
     got = _one(spark, [("true",), ("FALSE",), ("1",), ("0",), (None,), ("2",)], "s string",
                flag_to_int("s"))
     assert got == [1, 0, 1, 0, None, 2]
+
+
+def test_scale_conf():
+    from bikelake.session import scale_conf
+    c = scale_conf(100 * 10**12)
+    assert c["spark.sql.adaptive.enabled"] == "true"
+    assert int(c["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
