@@ -42,6 +42,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
@@ -49,14 +57,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder and is used as is.  Only when it is unset (local tests) a private
     folder is created and registered.
     """
+    sc = _context(spark)
     d = spark.conf.get(CHECKPOINT_CONF, None)
-    if not d:
-        d = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    if not d and sc is not None:
+        d = sc.getConf().get(CHECKPOINT_CONF, None)
     if not d:
         d = tempfile.mkdtemp(prefix="bikelake-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 

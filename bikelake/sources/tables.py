@@ -30,7 +30,9 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     Real inputs (many files) are returned unchanged, so at scale the plan keeps
     its scan-side partial aggregation without an extra exchange.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
+    from bikelake.session import _context
+    sc = _context(df.sparkSession)
+    slots = sc.defaultParallelism if sc is not None else 1
     if slots > 1 and len(df.inputFiles()) < slots:
         return df.repartition(slots)
     return df
