@@ -264,7 +264,7 @@ def q_incremental_current_state(spark: SparkSession, sf: str) -> DataFrame:
                          StructField("event_type", StringType()),
                          StructField("value", DoubleType())])
     stream = (spark.readStream.schema(schema).option("timestampFormat", JSON_TS_FORMAT)
-              .option("maxFilesPerTrigger", 10).json(f"{base}/in"))
+              .option("maxFilesPerTrigger", 16).json(f"{base}/in"))
     name = unique_name("state")
     incremental_state(stream, name, f"{base}/tables", ["user_id"], ["ts", "event_id"],
                       f"{base}/ckpt")
