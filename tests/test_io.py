@@ -171,7 +171,7 @@ def test_infer_schema_remembered(spark):
 
 def test_feed_url_and_dim(spark):
     base = _tmp()
-    _write(f"{base}/disc", "gbfs.json", {"last_updated": 1, "ttl": 0, "data": {"en": {"feeds": [
+    _write(f"{base}/disc", "discovery.json", {"last_updated": 1, "ttl": 0, "data": {"en": {"feeds": [
         {"name": "station_information", "url": "u1"}, {"name": "station_status", "url": "u2"}]}}})
     docs = spark.read.schema(DISCOVERY).option("multiLine", True).json(f"{base}/disc")
     assert [r["url"] for r in feed_url(docs, "station_status").collect()] == ["u2"]
