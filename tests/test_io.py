@@ -266,3 +266,37 @@ def test_profile_report_and_resolve_entity(spark):
     got = sorted((tuple(r) for r in resolve_entity(df, m, "id", "name").collect()),
                  key=lambda r: (r[0] is None, r[0] or ""))
     assert got == [("1.1", "a", "k", "K"), ("2", None, "2", None), (None, "c", None, "c")]
+
+
+def _trip_csv(path, rows):
+    os.makedirs(path, exist_ok=True)
+    header = ("ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,"
+              "end_station_name,end_station_id,start_lat,start_lng,end_lat,end_lng,member_casual\n")
+    with open(os.path.join(path, "trips.csv"), "w") as f:
+        f.write(header + "".join(",".join(r) + "\n" for r in rows))
+
+
+def test_history_flow_incremental_month(spark):
+    from bikelake.plans.flows import run_history
+    base = _tmp()
+    cfg = Config(f"mobility_h{uuid.uuid4().hex[:6]}", base)
+    jan = [("r1", "classic_bike", "2024-01-05 10:00:00", "2024-01-05 10:30:00", "W 4 St", "5.10_",
+            "E 9 Ave", "7", "40.1", "-73.1", "40.2", "-73.2", "member"),
+           ("r2", " Electric_Bike", "2024-01-31 23:50:00", "2024-02-01 00:10:00", "W  4 St", "5.1",
+            "E 9 Ave", "7.00", "40.3", "-73.3", "40.4", "-73.4", "Casual")]
+    _trip_csv(f"{cfg.landing('trips')}/year=2024/month=01", jan)
+    mapping = spark.createDataFrame([("5.1", "w4", "W4 St")], "station_id string, "
+                                    "canonical_station_key string, canonical_station_name string")
+    names = run_history(spark, cfg, mapping)
+    flow = {r["station_month_key"]: r for r in spark.table(names["flow"]).collect()}
+    assert flow["2024|01|w4"]["departures"] == 2 and flow["2024|02|7"]["arrivals"] == 1
+    assert spark.table(names["silver"]).filter("start_station_id = '5.1'").count() == 2
+    feb = [("r3", "classic_bike", "2024-02-02 08:00:00", "2024-02-02 08:05:00", "E 9 Ave", "7",
+            "W 4 St", "5.1", "40.2", "-73.2", "40.1", "-73.1", "member")]
+    _trip_csv(f"{cfg.landing('trips')}/year=2024/month=02", feb)
+    names = run_history(spark, cfg, mapping)
+    assert spark.table(names["bronze"]).count() == 3                    # only the new file appended
+    flow = {r["station_month_key"]: r for r in spark.table(names["flow"]).collect()}
+    assert flow["2024|02|w4"]["arrivals"] == 1 and flow["2024|02|7"]["departures"] == 1
+    demand = {(r["member_casual"], r["rideable_type"]) for r in spark.table(names["demand"]).collect()}
+    assert demand == {("member", "classic_bike"), ("casual", "electric_bike")}
