@@ -88,3 +88,29 @@ def test_scale_conf():
     assert c["spark.sql.adaptive.enabled"] == "true"
     assert int(c["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_normalize_id_property(spark):
+    """Random id-like strings: Spark's rules agree with the same rules applied in Python."""
+    import re
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from bikelake.functions import clean as C
+
+    def py_normalize(s):
+        s = s.strip(" ")
+        s = re.sub(C.ID_TRAILING_UNDERSCORES, "", s)
+        s = re.sub(C.ID_TRAILING_ZEROS, r"\1", s)
+        return re.sub(C.ID_ZERO_FRACTION, "", s)
+
+    ids = st.text(alphabet="0123456789._ AJC", min_size=0, max_size=12)
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(ids, min_size=20, max_size=200))
+    def check(batch):
+        got = _one(spark, [(x,) for x in batch], "s string", normalize_id("s"))
+        assert got == [py_normalize(x) for x in batch]
+
+    check()
