@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bikelake.llm import chat, html_text, langid, packing, quality, token_files
+from bikelake.llm import bitslice, chat, hnsw, html_text, langid, mixing, packing, quality, token_files
 from bikelake.llm.common import ship_package, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,84 @@ def op10_html_extraction(spark, sf_dir):
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract_pages(spark, pages)
+
+
+@query
+def op5_source_mixing(spark, sf_dir):
+    """Schedule of all documents mixed to smoothed source weights."""
+    return mixing.schedule(spark, table(spark, sf_dir, "documents")).drop("sk")
+
+
+ORACLE_SQL["op5_source_mixing"] = """
+WITH RECURSIVE docs AS (
+  SELECT DISTINCT doc_id, coalesce('s' || source, 'n') AS sk FROM documents
+), numbered AS (
+  SELECT doc_id, sk, row_number() OVER (PARTITION BY sk ORDER BY left(md5(coalesce(doc_id::VARCHAR, '')), 16), doc_id) - 1 AS n
+  FROM docs
+), w AS (
+  SELECT sk, count(*) AS n_docs, pow(count(*)::DOUBLE, 0.7) AS w FROM docs GROUP BY sk
+), e AS (
+  SELECT *, w / sum(w) OVER () * 100 AS exact FROM w
+), b AS (
+  SELECT *, greatest(1, floor(exact))::BIGINT AS base FROM e
+), c AS (
+  SELECT sk, (n_docs + 3) // 4 AS blocks,
+    base + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, sk) <= 100 - sum(base) OVER () THEN 1 ELSE 0 END AS c
+  FROM b
+), block AS (
+  SELECT sk, c, blocks, unnest(range(blocks)) AS block FROM c
+), quota AS (   -- blocks of a source in a period
+  SELECT sk, block // c AS period, count(*) AS q FROM block GROUP BY ALL
+), periods AS (
+  SELECT period, sum(q) AS len, sum(sum(q)) OVER (ORDER BY period) - sum(q) AS start FROM quota GROUP BY period
+), windows AS (
+  SELECT dense_rank() OVER (ORDER BY sk) AS i, sk, block,
+    start + floor(((block % c) * len)::DOUBLE / q) AS release,
+    start + ceil(((block % c + 1) * len)::DOUBLE / q) AS deadline
+  FROM block JOIN quota USING (sk) JOIN periods ON periods.period = quota.period
+  WHERE quota.period = block // c
+), slots(slot, done, pick) AS (
+  SELECT -1::BIGINT, list_transform(range((SELECT max(i) FROM windows)), lambda x: 0::BIGINT), 0::BIGINT
+  UNION ALL
+  SELECT slot + 1, list_transform(done, lambda d, k: CASE WHEN k = p THEN d + 1 ELSE d END), p
+  FROM (SELECT s.slot, s.done, (SELECT arg_min(v.i, v.deadline * 1000000 + v.i) FROM windows v
+          WHERE v.block = s.done[v.i] AND v.release <= s.slot + 1) AS p FROM slots s)
+  WHERE p IS NOT NULL
+), placed AS (
+  SELECT slot, pick AS i, row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS block FROM slots WHERE slot >= 0
+)
+SELECT n.doc_id, CASE WHEN n.sk <> 'n' THEN substr(n.sk, 2) END AS source, (n.n // 4)::BIGINT AS block,
+  p.slot::BIGINT AS slot, (p.slot * 4 + n.n % 4)::BIGINT AS position
+FROM numbered n JOIN windows v ON v.sk = n.sk AND v.block = n.n // 4
+JOIN placed p ON p.i = v.i AND p.block = v.block
+"""
+
+
+@query
+def op6_topk_search(spark, sf_dir):
+    """Top 5 by integer inner product for every 50th vector, against all others."""
+    e = table(spark, sf_dir, "embeddings")
+    return (bitslice.top_k(spark, e, e.filter("vec_id % 50 = 0"), 5)
+            .select("query_id", "rank", F.col("id").alias("vec_id"), "score"))
+
+
+ORACLE_SQL["op6_topk_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+  FROM v q JOIN v ON v.vec_id <> q.vec_id AND len(v.x) = len(q.x) WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query
+def op8_embedding_dedup(spark, sf_dir):
+    """Near-duplicate vectors of one label at cosine 0.93: links, components, the kept rows."""
+    return (hnsw.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+            .select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept"))
