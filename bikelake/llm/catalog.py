@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bikelake.llm import bitslice, chat, hnsw, html_text, langid, mixing, packing, quality, token_files
+from bikelake.llm import bitslice, chat, hnsw, html_text, langid, mixing, ngram_join, packing, quality, token_files
 from bikelake.llm.common import ship_package, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,35 @@ def op8_embedding_dedup(spark, sf_dir):
     """Near-duplicate vectors of one label at cosine 0.93: links, components, the kept rows."""
     return (hnsw.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
             .select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept"))
+
+
+@query
+def op1_ngram_join(spark, sf_dir):
+    """Components of all documents by Jaccard similarity of 5-word shingles, 0.8 or more."""
+    return ngram_join.similarity_components(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLE_SQL["op1_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END AS s FROM words
+), grams AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS o
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id AND 10 * a.n >= 8 * b.n AND 10 * b.n >= 8 * a.n
+  GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared WHERE 100 * o >= 80 * (na + nb - o)
+), edge AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON reach.r = edge.a
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.r) AS component_id
+FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, len(s.s)
+"""
