@@ -159,18 +159,19 @@ def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", e
 
 def pack(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
          end_id: int = 2, capacity: int = SEQUENCE_TOKENS, group_pieces: int = GROUP_PIECES,
-         vocabulary: str | None = None) -> DataFrame:
+         vocabulary: str | None = None, in_order: bool = False) -> DataFrame:
     """Pack every document: ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``.
 
     A null text is empty and gives the end id alone; repeated rows are packed one by one; a
     null doc_id stays null; an empty table gives no row.  The texts are encoded once and only
-    the pieces' lengths are shuffled.
+    the pieces' lengths are shuffled.  With ``in_order`` the groups are runs of rows as they
+    are read, so sequences hold documents that stand near each other in the input.
     """
     cut = written(spark, pieces(docs, id_col=id_col, text_col=text_col, end_id=end_id, capacity=capacity,
                                 vocabulary=vocabulary), "pieces")
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
     short = cut.filter(F.col("length") < capacity)
-    groups = max(1, -(-short.count() // group_pieces))
+    groups = 1 if in_order else max(1, -(-short.count() // group_pieces))
     # Whole sequences get even ids, packed ones odd ids from the group.
     whole = cut.filter(F.col("length") >= capacity).select(
         *cols, (F.monotonically_increasing_id() * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
@@ -187,6 +188,10 @@ def pack(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_c
                 at += lengths[i]
         return rows.select(cols).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    packed = (short.withColumn("g", F.pmod(F.xxhash64("row", "piece"), F.lit(groups)).cast("long"))
+    if in_order:  # row: number of the read partition in the high bits, place in it in the low 33
+        group = F.expr(f"shiftright(row, 33) * 4096 + (row & {(1 << 33) - 1}) div {group_pieces}")
+    else:
+        group = F.pmod(F.xxhash64("row", "piece"), F.lit(groups)).cast("long")
+    packed = (short.withColumn("g", group)
               .groupBy("g").applyInArrow(place, out))
     return whole.union(packed)
