@@ -37,6 +37,7 @@ from bikelake.llm.common import batch_of, components, texts_of, written
 WORDS = 5
 PERCENT = 80               # links: 100 * intersection >= PERCENT * union
 SKETCH_BITS = 20           # size of the count sketch, fixed
+FILTER_BITS = 25           # size of the filter of ids whose sets are shipped, fixed
 FEW_NODES = 24             # a shingle of at most so many nodes yields pairs
 PART_ENTRIES = 200_000     # prefix entries of a part, about
 BLOCK_SETS = 400           # sets of a trie, about
@@ -141,6 +142,48 @@ def _sum_sketches(batches):
                                 [zlib.compress(np.minimum(part, 0xFFFFFFFF).astype("<u4").tobytes(), 1)]])
 
 
+def _filter_bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    h = _mix(h.view(np.uint64))
+    at = np.concatenate([h & np.uint64((1 << FILTER_BITS) - 1), h >> np.uint64(64 - FILTER_BITS)]).astype(np.int64)
+    return at >> 3, (1 << (at & 7)).astype(np.uint8)
+
+
+def _filter_blocks(bits: np.ndarray):
+    schema = pa.schema([("block", pa.int32()), ("bits", pa.binary())])
+    for k, part in enumerate(np.split(bits, 16)):
+        yield batch_of(schema, [[k], [zlib.compress(part.tobytes(), 1)]])
+
+
+def _make_filter(batches):
+    bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    for batch in batches:
+        np.bitwise_or.at(bits, *_filter_bits(batch.column(0).to_numpy()))
+    yield from _filter_blocks(bits)
+
+
+def _join_filters(batches):
+    schema = pa.schema([("block", pa.int32()), ("bits", pa.binary())])
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            c = np.frombuffer(zlib.decompress(c), np.uint8)
+            sums[k] = sums[k] | c if k in sums else c
+    for k, part in sums.items():
+        yield batch_of(schema, [[k], [zlib.compress(part.tobytes(), 1)]])
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """Bit filter of fixed size that passes every id of the one column (and few others, as
+    long as they are not many millions; more then, which costs work but no result)."""
+    bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    made = (ids.mapInArrow(_make_filter, "block int, bits binary").repartition("block")
+            .mapInArrow(_join_filters, "block int, bits binary"))
+    for r in made.collect():  # 16 rows of a fixed size
+        width = len(bits) // 16
+        bits[r[0] * width:(r[0] + 1) * width] = np.frombuffer(zlib.decompress(r[1]), np.uint8)
+    return bits
+
+
 # ------------------------------------------------------------------- pass 2: prefix entries
 
 def _prefixes(sketch, parts: int, words: int, percent: int):
@@ -416,24 +459,25 @@ def similarity_components(spark: SparkSession, docs: DataFrame, *, id_col: str =
 
     def links(assigned: DataFrame, name: str) -> DataFrame:
         """Ship the sets of ``(node, doc_id, cluster, block, probe, component)`` to their blocks; join there."""
-        to = assigned.groupBy("doc_id", "node").agg(F.collect_list(F.struct("cluster", "block", "probe", "component")).alias("to"))
-        schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+        wanted = written(spark, assigned, f"{name}-to")
+        passes = spark.sparkContext.broadcast(id_filter(wanted.select("doc_id")))
+        schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("shingles", pa.binary())])
 
         def sets(batches):
+            bits = passes.value
             for batch in batches:
-                out = ([], [], [])
-                for text, node, to in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                    s = shingle_set(text, words)
-                    if set_hash(s) == node:  # a repeated id may stand for other texts
-                        for v, x in zip(out, (node, s.astype("<u8").tobytes(), to)):
-                            v.append(x)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], batch.schema.field(2).type)],
-                    names=["node", "shingles", "to"])
-
-        shipped = (src.join(to, "doc_id").select("text", "node", "to")
-                   .mapInArrow(sets, "node long, shingles binary, to array<struct<cluster:long,block:long,probe:boolean,component:long>>")
-                   .select("node", "shingles", F.explode("to").alias("t")).select("node", "shingles", "t.*"))
+                ids = batch.column(0).to_numpy()
+                byte, bit = _filter_bits(ids)
+                hit = ((bits[byte] & bit) > 0).reshape(2, -1).all(axis=0)
+                found = [shingle_set(text, words) for text in texts_of(batch.column(1).filter(pa.array(hit)))]
+                yield batch_of(schema, [ids[hit], [set_hash(x) for x in found],
+                                        [x.astype("<u8").tobytes() for x in found]])
+
+        # Only texts that pass the filter are hashed and shuffled; the join is exact.  A
+        # repeated id may stand for several texts: the node tells which one is meant.
+        shipped = (src.filter("doc_id IS NOT NULL")
+                   .mapInArrow(sets, "doc_id long, node long, shingles binary")
+                   .join(wanted, ["doc_id", "node"]).select("node", "shingles", "cluster", "block", "probe", "component"))
         return written(spark, shipped.groupBy("cluster", "block").applyInArrow(_block_links(percent), "a long, b long"), name)
 
     where = F.when(F.col("anchor"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("own"))
