@@ -48,7 +48,7 @@ def _filesystem(uri: str):
 class ShardWriter:
     """Streams documents into one shard; holds at most one frame of ids, and the index."""
 
-    def __init__(self, out, dtype: np.dtype, frame_tokens: int = FRAME_TOKENS, level: int = 3):
+    def __init__(self, out, dtype: np.dtype, frame_tokens: int = FRAME_TOKENS, level: int = 1):
         import zstandard
         self.out, self.dtype, self.frame_bytes = out, dtype, frame_tokens * dtype.itemsize
         self.zstd = zstandard.ZstdCompressor(level=level)

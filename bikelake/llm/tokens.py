@@ -10,12 +10,14 @@ the library whole.  Ids are the same as ``Tokenizer.encode`` gives (tested).
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
 import numpy as np
 
 CACHE_WORDS = 1_200_000  # kept per Python worker; beyond it the cache starts anew
 
-_RUN = re.compile(r"\s\s|^\s|\0")
+_RUN = re.compile(r"\s\s|^\s")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[^\s\w]+|\n")
 
 
@@ -32,50 +34,62 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
 
 
+class _Words(dict):
+    """Piece -> bytes of its ids; asks the encoder for what is missing."""
+
+    def __init__(self, ask):
+        super().__init__()
+        self.ask = ask
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self[piece] = self.ask(piece)
+        return found
+
+
 class WordEncoder:
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype, self.code = (np.dtype("<u2"), "H") if small else (np.dtype("<u4"), "I")
         self.letters = _byte_letters()
-        self.cache: dict[str, bytes] = {}
         self.limit = cache_words
+        self.first = _Words(self._piece)                          # pieces at the start of a line
+        self.spaced = _Words(lambda piece: self._piece(" " + piece))  # pieces after a space
+        self.model = self.tokenizer.model
 
-    def _whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype=self.dtype).tobytes()
+    def _bytes(self, ids) -> bytes:
+        a = array(self.code, ids)
+        if sys.byteorder != "little":
+            a.byteswap()
+        return a.tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if _PIECE.fullmatch(piece):  # one word of the splitting rule: straight to the model
-            word = piece.encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.tokenizer.model.tokenize(word)]
-            return np.array(ids, dtype=self.dtype).tobytes()
-        cut = _PIECE.findall(piece)
-        if "".join(cut) == piece and "'" not in piece:
-            return b"".join(map(self.__getitem__, cut))
-        return self._whole(piece)
-
-    def __getitem__(self, piece: str) -> bytes:
-        found = self.cache.get(piece)
-        if found is None:
-            found = self.cache[piece] = self._piece(piece)
-        return found
+        if "'" not in piece:
+            cut = _PIECE.findall(piece)
+            if "".join(cut) == piece:  # words of the splitting rule: straight to the model
+                return self._bytes([t.id for word in cut for t in self.model.tokenize(
+                    word.encode().decode("latin-1").translate(self.letters))])
+        return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> np.ndarray:
         """All ids of the text, as the smallest unsigned type that holds the vocabulary."""
         if not text:
             return np.empty(0, self.dtype)
         if _RUN.search(text):
-            return np.frombuffer(self._whole(text), self.dtype)
-        if len(self.cache) > self.limit:
-            self.cache.clear()
-        pieces = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
-        try:
-            joined = b"".join(map(self.cache.__getitem__, pieces))
-        except KeyError:
-            joined = b"".join(map(self.__getitem__, pieces))
-        return np.frombuffer(joined, self.dtype)
+            return np.frombuffer(self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids), self.dtype)
+        if len(self.spaced) + len(self.first) > self.limit:
+            self.spaced.clear()
+            self.first.clear()
+        out = []
+        for line in text.split("\n"):
+            head, *rest = line.split(" ")
+            out.append(self.first[head])
+            out += map(self.spaced.__getitem__, rest)
+            out.append(self.first["\n"])
+        out.pop()
+        return np.frombuffer(b"".join(out), self.dtype)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
