@@ -8,8 +8,9 @@ twice the share of its words that lie outside the marked article, so words under
 is never part of an article count -1 and those under a tag that always is count +1.  Tags
 that no labelled page shows take the prior below.
 
-Inside the region, elements that are never text of an article (scripts, forms, menus, notices,
-adverts, reader comments ...) are left out.  What remains is cut into blocks.
+Elements that are never text of an article (scripts, forms, menus, notices, adverts, reader
+comments ...) score nothing but the tag cost and are left out of the region.  What remains is
+cut into blocks.
 """
 
 from __future__ import annotations
@@ -139,12 +140,13 @@ def extract(page: str | None, weights: dict[str, float] | None = None) -> str:
         if kind == "text":
             words = len(text.split())
             out = any(s[2] for s in stack)
-            worst = max((known.get(s[1], 2.0 if s[2] else 0.0) for s in stack), default=0.0)
-            steps.append((words * (1.0 - max(worst, 2.0 if out else 0.0)), text, out))
+            # what is left out anyway must not split the article around it
+            worst = max((known.get(s[1], 0.0) for s in stack), default=0.0)
+            steps.append((0.0 if out else words * (1.0 - worst), text, out))
         else:
             name = text if kind == "open" else key
-            cost = TAG_COST + known.get(key, 0.0)
-            steps.append((-cost, None if name not in INLINE else "", False))
+            out = name in NEVER or "." in key or any(s[2] for s in stack)
+            steps.append((-TAG_COST if out else -TAG_COST - known.get(key, 0.0), None if name not in INLINE | RAW else "", False))
     best, best_range, run, start = 0.0, (0, 0), 0.0, 0
     for k, (score, _, _) in enumerate(steps):
         if run <= 0:
