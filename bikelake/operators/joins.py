@@ -1,28 +1,14 @@
-"""Join helpers: size-checked broadcast lookups, current-state join, coverage."""
+"""Join helpers: lookups, current-state join, coverage."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it is proven to hold at most this many rows.
-BROADCAST_MAX_ROWS = 200_000
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a fact side to a dimension; broadcast the dimension only behind a row-count check.
-
-    Beyond the bound the plain join is planned, which Catalyst/AQE execute as a
-    shuffle (sort-merge) join.
-    """
-    side = F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-    return fact.join(side, on, how)
+def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a fact side to a dimension; Catalyst and AQE choose broadcast or shuffle by bytes."""
+    return fact.join(dim, on, how)
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "key") -> None:

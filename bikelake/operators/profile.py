@@ -119,7 +119,7 @@ def profile_describe(df: DataFrame, cols: Sequence[str], exact: bool = True,
     """
     out = None
     for c in cols:
-        v = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
+        v = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))  # NaN is a missing value
         basic = v.agg(F.count(F.lit(1)).alias("count"), F.avg("v").alias("mean"),
                       F.stddev_samp("v").alias("std"), F.min("v").alias("min"),
                       F.max("v").alias("max"))

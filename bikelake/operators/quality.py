@@ -1,7 +1,7 @@
 """Declarative data tests.
 
 ``run_checks`` evaluates every ``not_null`` / ``accepted`` check of a table in
-ONE aggregate pass (``count_if`` per check) and every ``unique`` check as one
+one aggregate pass (``count_if`` per check) and every ``unique`` check as one
 grouped aggregate; the report has one row per check:
 ``table_name, column_name, test, failures``.
 
@@ -43,41 +43,39 @@ class DataTestFailure(RuntimeError):
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], table_name: str = "") -> DataFrame:
-    """All checks of a table in ONE scan and one shuffle.
-
-    Every row emits one small record per check: ``(check, key, bad)`` where
-    ``key`` is the column value for ``unique`` checks and NULL otherwise.  A
-    partial hash aggregate on ``(check, key)`` collapses the row-level checks to
-    one record per task before the shuffle; the final step counts bad rows and
-    keys seen more than once.  The data is read once however many checks exist.
+    """All checks of a table: every row-level check in one aggregate over the table, and one
+    grouped aggregate per ``unique`` check, on the typed column.  No row is multiplied, and
+    a key held by many rows is one record per task before its shuffle.
     """
     known = ("not_null", "accepted_values", "unique")
     unknown = [c for c in checks if c.test not in known]
     if unknown:
         raise ValueError(f"unknown tests {unknown}")
-    recs = []
-    for i, c in enumerate(checks):
+
+    def rows(c: Check):
         col = F.col(c.column)
-        if c.test == "not_null":
-            key, bad = F.lit(None).cast("string"), col.isNull()
-        elif c.test == "accepted_values":
-            key, bad = F.lit(None).cast("string"), col.isNotNull() & ~col.isin(list(c.values))
-        else:
-            key, bad = col.cast("string"), F.lit(False)
-        recs.append(F.struct(F.lit(i).alias("i"), key.alias("k"), bad.alias("bad")))
-    per_key = (df.select(F.explode(F.array(*recs)).alias("r"))
-               .groupBy(F.col("r.i").alias("i"), F.col("r.k").alias("k"))
-               .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("r.bad")).alias("bad")))
-    per_check = per_key.groupBy("i").agg(
-        F.sum("bad").alias("bad_rows"),
-        F.count_if(F.col("k").isNotNull() & (F.col("n") > 1)).alias("dup_keys"))
-    meta = df.sparkSession.createDataFrame(
-        [(i, c.column, c.test) for i, c in enumerate(checks)], "i int, column_name string, test string")
-    # ``meta`` has one row per declared check: a bounded broadcast.
-    out = F.broadcast(meta).join(per_check, "i", "left")
-    failures = F.when(F.col("test") == "unique", F.col("dup_keys")).otherwise(F.col("bad_rows"))
-    return out.select(F.lit(table_name).alias("table_name"), "column_name", "test",
-                      F.coalesce(failures, F.lit(0)).cast("long").alias("failures"))
+        return F.count_if(col.isNull() if c.test == "not_null" else col.isNotNull() & ~col.isin(list(c.values)))
+
+    def report(frame: DataFrame, c: Check, failures) -> DataFrame:
+        return frame.select(F.lit(table_name).alias("table_name"), F.lit(c.column).alias("column_name"),
+                            F.lit(c.test).alias("test"), failures.cast("long").alias("failures"))
+
+    parts = []
+    by_row = [c for c in checks if c.test != "unique"]
+    if by_row:
+        one = df.agg(*[rows(c).alias(f"c{i}") for i, c in enumerate(by_row)])
+        parts.append(one.select(F.inline(F.array(*[F.struct(
+            F.lit(table_name).alias("table_name"), F.lit(c.column).alias("column_name"),
+            F.lit(c.test).alias("test"), F.col(f"c{i}").cast("long").alias("failures"))
+            for i, c in enumerate(by_row)]))))
+    for c in checks:
+        if c.test == "unique":
+            keys = df.filter(F.col(c.column).isNotNull()).groupBy(c.column).agg(F.count(F.lit(1)).alias("_n"))
+            parts.append(report(keys.agg(F.count_if(F.col("_n") > 1).alias("_d")), c, F.col("_d")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def gate(report: DataFrame, on_fail: str = "raise") -> list:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,8 @@ QUEUE_COLUMNS = [
 ]
 
 
-def station_health(stations: DataFrame, low_pct: float = 10) -> DataFrame:
+def station_health(stations: DataFrame, low_pct: float = 10,
+                   columns: Sequence[str] = tuple(HEALTH_COLUMNS)) -> DataFrame:
     """Classify every station (first matching rule wins).
 
     A station without status has NULL measures; every rule is then NULL, so it is
@@ -52,7 +55,7 @@ def station_health(stations: DataFrame, low_pct: float = 10) -> DataFrame:
         .otherwise("HEALTHY")
     )
     h = h.withColumn("health_status", status)
-    return h.select(*[x for x in HEALTH_COLUMNS if x in h.columns])
+    return h.select(*columns)  # a column the contract names and the input lacks is an error
 
 
 def _score_from(pct: str):
@@ -60,7 +63,8 @@ def _score_from(pct: str):
     return F.round(F.lit(90).cast("decimal(10,2)") - F.col(pct).cast("decimal(10,2)"), 2).cast("double")
 
 
-def rebalancing_queue(health: DataFrame, distributed_rank: bool = True) -> DataFrame:
+def rebalancing_queue(health: DataFrame, distributed_rank: bool = True,
+                      columns: Sequence[str] = tuple(QUEUE_COLUMNS)) -> DataFrame:
     """Non-healthy stations with action, level, score and a global priority rank."""
     hs = F.col("health_status")
     q = health.filter(hs != "HEALTHY").withColumns({
@@ -77,4 +81,4 @@ def rebalancing_queue(health: DataFrame, distributed_rank: bool = True) -> DataF
     })
     order = [F.col("priority_score").desc(), F.col("capacity").desc(), F.col("station_id").asc()]
     ranked = global_rank(q, order, name="priority_rank", distributed=distributed_rank)
-    return ranked.select(*[x for x in QUEUE_COLUMNS if x in ranked.columns])
+    return ranked.select(*columns)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bikelake.functions.clean import non_blank, round_decimal
-from bikelake.operators.joins import lookup_join
+from bikelake.operators.joins import assert_unique, lookup_join
 
 FLOW_KEYS = ["ride_year", "ride_month", "station_key"]
 
@@ -54,10 +54,11 @@ def resolve_entity(df: DataFrame, mapping: DataFrame, id_col: str, name_col: str
                    map_key: str = "station_id") -> DataFrame:
     """Canonical key (and name) for every row (J2, X10): LEFT JOIN the mapping on the id;
     an unmapped id falls back to itself, an unmapped name to the row's own name.
-    The mapping is broadcast only when its size is proven small."""
+    A mapping id that occurs twice would multiply rows, so it is rejected."""
     m = mapping.select(F.col(map_key).alias("_mid"),
                        F.col("canonical_station_key").alias("_mkey"),
                        F.col("canonical_station_name").alias("_mname"))
+    assert_unique(m, ["_mid"], what="mapping id")
     j = lookup_join(df, m, F.col(id_col) == F.col("_mid"))
     out = j.withColumn(key_out, F.coalesce("_mkey", F.col(id_col)))
     if name_col is not None:

@@ -176,7 +176,7 @@ TRIP_SCHEMA = all_strings(TRIP_COLUMNS, {"year": IntegerType(), "month": Integer
 
 
 def _land_trips(spark: SparkSession, sf: str, path: str) -> None:
-    rows = derive.trip_rows(load_table(spark, sf, "events", spread=True))
+    rows = derive.trip_rows(load_table(spark, sf, "events"))
     land_snapshots(rows, path, "_ts", grain="month", fmt="csv", drop_ts=True, **CSV_EXACT)
 
 
@@ -264,7 +264,7 @@ def q_incremental_current_state(spark: SparkSession, sf: str) -> DataFrame:
                          StructField("event_type", StringType()),
                          StructField("value", DoubleType())])
     stream = (spark.readStream.schema(schema).option("timestampFormat", JSON_TS_FORMAT)
-              .option("maxFilesPerTrigger", 16).json(f"{base}/in"))
+              .option("maxFilesPerTrigger", 1).json(f"{base}/in"))
     name = unique_name("state")
     incremental_state(stream, name, f"{base}/tables", ["user_id"], ["ts", "event_id"],
                       f"{base}/ckpt")

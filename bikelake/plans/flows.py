@@ -21,7 +21,7 @@ from bikelake.operators.silver import silver_stations
 from bikelake.operators.stations import rebalancing_queue, station_health
 from bikelake.operators.trips import hourly_demand, monthly_flow
 from bikelake.plans.gold_tests import GOLD_TESTS
-from bikelake.sinks.tables import publish, upsert
+from bikelake.sinks.tables import switch, upsert, write_version
 from bikelake.sources.schemas import STATION_INFORMATION, STATION_STATUS, TRIP_COLUMNS, all_strings
 from bikelake.streaming.ingest import clean_trips_stream, ingest_snapshots, ingest_trips, run
 
@@ -32,9 +32,11 @@ TRIP_ARRIVALS = dict(ts="ended_at", id="end_station_id", name="end_station_name"
 
 
 def _published_and_tested(df: DataFrame, cfg: Config, model: str, tests, on_fail: str) -> str:
-    name = cfg.table("gold", model)
-    publish(df, name, cfg.root)
-    gate(run_checks(df.sparkSession.table(name), tests, model), on_fail=on_fail)
+    """Write the next version, test it, and only then let readers see it."""
+    name, spark = cfg.table("gold", model), df.sparkSession
+    v, path = write_version(df, name, cfg.root)
+    gate(run_checks(spark.read.parquet(path), tests, model), on_fail=on_fail)
+    switch(spark, name, v, path)
     return name
 
 

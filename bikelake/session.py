@@ -61,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get(CHECKPOINT_CONF, None)
     if not d and sc is not None:
         d = sc.getConf().get(CHECKPOINT_CONF, None)
+    if not d and sc is not None and not sc.master.startswith("local"):
+        raise ValueError(f"{CHECKPOINT_CONF} must name a folder that driver and executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="bikelake-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)

@@ -1,25 +1,30 @@
 """Publishing and keyed upsert over versioned parquet.
 
 Open-source Spark has no MERGE for plain parquet tables, and a table cannot be
-overwritten while it is being read.  Every publish therefore writes a complete
-new version folder ``<root>/<table>/v<NNNNNN>`` and then points the catalog
-table at it (``ALTER TABLE .. SET LOCATION``); readers always see one whole
-version.  The version number (and the last streaming batch applied) live in
-table properties.
+overwritten while it is being read.  Every publish writes a complete new version
+into a folder of its own, ``<root>/<table>/v<NNNNNN>-<unique>``, and then replaces
+the table's definition: a view over that folder.  The one ``CREATE OR REPLACE VIEW``
+carries location, version and last streaming batch together, whatever the schema
+and partitioning, so a crash before it leaves the old version in place and a crash
+after it the new one.  No folder is ever written twice and nothing is dropped;
+``prune_versions`` removes old folders.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bikelake.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast
 from bikelake.operators.latest import latest_per_key
 
 VERSION_PROP = "bikelake.version"
 BATCH_PROP = "bikelake.batch_id"
+PATH_PROP = "bikelake.path"
+KEPT_VERSIONS = 3  # versions that prune_versions keeps by default
 
 
 def _props(spark: SparkSession, name: str) -> dict:
@@ -36,6 +41,27 @@ def last_batch(spark: SparkSession, name: str) -> int:
     return int(_props(spark, name).get(BATCH_PROP, -1))
 
 
+def write_version(df: DataFrame, name: str, root: str, partition_by: Sequence[str] = ()) -> tuple[int, str]:
+    """Write ``df`` as a version that no reader sees yet; returns its number and folder."""
+    v = table_version(df.sparkSession, name) + 1
+    path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v{v:06d}-{uuid.uuid4().hex[:12]}"
+    w = df.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return v, path
+
+
+def switch(spark: SparkSession, name: str, version: int, path: str, batch_id: int | None = None) -> int:
+    """Make a written version the table's content, in one change of the catalog."""
+    old = _props(spark, name)
+    batch = str(batch_id) if batch_id is not None else old.get(BATCH_PROP)
+    props = {VERSION_PROP: str(version), PATH_PROP: path, **({BATCH_PROP: batch} if batch is not None else {})}
+    plist = ", ".join(f"'{k}'='{val}'" for k, val in props.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({plist}) AS SELECT * FROM parquet.`{path}`")
+    return version
+
+
 def publish(df: DataFrame, name: str, root: str, batch_id: int | None = None,
             partition_by: Sequence[str] = ()) -> int:
     """Write ``df`` as the next version of table ``name`` and switch the table to it.
@@ -43,32 +69,23 @@ def publish(df: DataFrame, name: str, root: str, batch_id: int | None = None,
     Creates the table on first use (K2); later calls are full rebuilds (K4).
     Returns the new version number.
     """
-    spark = df.sparkSession
-    v = table_version(spark, name) + 1
-    path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v{v:06d}"
-    # The new version folder is not referenced by the table until the switch below,
-    # so a leftover of a failed attempt (lost executors, killed job) is overwritten.
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    props = {VERSION_PROP: str(v)}
-    if batch_id is not None:
-        props[BATCH_PROP] = str(batch_id)
-    plist = ", ".join(f"'{k}'='{val}'" for k, val in props.items())
-    exists = spark.catalog.tableExists(name)
-    same_schema = exists and spark.table(name).schema.simpleString() == df.schema.simpleString()
-    if exists and same_schema and not partition_by:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({plist})")
-        spark.catalog.refreshTable(name)
-    else:
-        if exists:
-            spark.sql(f"DROP TABLE {name}")  # external: the version folders stay
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}' TBLPROPERTIES ({plist})")
-        if partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {name}")
-    return v
+    v, path = write_version(df, name, root, partition_by)
+    return switch(df.sparkSession, name, v, path, batch_id)
+
+
+def prune_versions(spark: SparkSession, name: str, root: str, keep: int = KEPT_VERSIONS) -> int:
+    """Delete version folders older than the newest ``keep`` up to the current one, and never
+    the current one; returns how many.  Readers of a version that old must have ended."""
+    now, current = table_version(spark, name), _props(spark, name).get(PATH_PROP, "")
+    jvm = spark._jvm.org.apache.hadoop.fs
+    folder = jvm.Path(f"{root.rstrip('/')}/{name.replace('.', '/')}")
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    gone = 0
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        found = re.fullmatch(r"v(\d{6})-[0-9a-f]{12}", status.getPath().getName())
+        if found and int(found[1]) <= now - keep and not current.endswith(status.getPath().getName()):
+            gone += bool(fs.delete(status.getPath(), True))
+    return gone
 
 
 def _non_null(keys):
@@ -80,8 +97,7 @@ def _non_null(keys):
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 order_desc: Sequence[str] | None = None,
-                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                 order_desc: Sequence[str] | None = None) -> DataFrame:
     """The rows of ``target`` after a MERGE of ``source`` on ``keys``.
 
     * matched key  -> source row replaces target row (update all);
@@ -93,12 +109,12 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     older by those columns, which makes replays of the same batch idempotent.
 
     Only target rows whose key occurs in ``source`` take part in a shuffle; the
-    rest of the target is filtered by an anti join against the source keys
-    (broadcast when their count is proven small), i.e. a map-only pass.
+    rest of the target is filtered by an anti join against the source keys, a
+    map-only pass where these are small enough for Catalyst to broadcast them.
     """
     keys = list(keys)
     src_keys = source.filter(_non_null(keys)).select(*keys).distinct()
-    probe = F.broadcast(src_keys) if fits_broadcast(src_keys, max_broadcast_rows) else src_keys
+    probe = src_keys
     untouched = target.join(probe, keys, "left_anti")
     if not order_desc:
         return untouched.unionByName(source, allowMissingColumns=True)
@@ -121,9 +137,8 @@ def upsert(name: str, source: DataFrame, keys: Sequence[str], root: str,
            order_desc: Sequence[str] | None = None, batch_id: int | None = None) -> int:
     """Keyed upsert of ``source`` into table ``name`` (created when absent). Returns the version."""
     spark = source.sparkSession
-    # The source feeds the uniqueness check, the size check of its keys and the
-    # write: keep it cached for the duration instead of evaluating it three times
-    # (a lost cached block is recomputed from lineage).
+    # The source feeds the uniqueness check and the write: keep it cached for the
+    # duration instead of evaluating it twice (a lost block is recomputed from lineage).
     source = source.persist()
     try:
         assert_unique_source(source, keys)

@@ -33,7 +33,9 @@ def read_csv_stream(spark: SparkSession, path: str, schema: StructType,
                     max_files: int | None = None) -> DataFrame:
     """Incremental header-CSV stream (S2); hive directories such as
     ``year=/month=`` become columns when the schema names them (S3)."""
-    r = spark.readStream.schema(schema).option("header", True).option("basePath", path)
+    # Columns are assigned by position: a header in another order must stop the stream, not swap values.
+    r = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
+         .option("basePath", path))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.csv(path)
@@ -46,13 +48,15 @@ def table_stream(spark: SparkSession, name: str) -> DataFrame:
 
 def load_dim(spark: SparkSession, path: str, schema: StructType | str,
              key: str = "station_id", normalize: bool = True) -> DataFrame:
-    """Seed / dimension CSV with an explicit (string) schema.
+    """Seed / dimension CSV with an explicit (string) schema, columns taken by header name.
 
     Keys are read as strings and, by default, normalised like the fact ids, so
     ``x.10`` in the seed still meets ``x.1`` in the trips (trap T20).  A key that
     occurs twice would fan out the lookup join, so it is rejected.
     """
-    dim = spark.read.schema(schema).option("header", True).csv(path)
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    found = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    dim = found.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
     if normalize:
         dim = dim.withColumn(key, normalize_id(key))
     assert_unique(dim, [key], what=f"dimension key {key}")

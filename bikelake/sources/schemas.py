@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DataType, DoubleType, LongType,
@@ -96,10 +97,12 @@ def infer_schema(spark: SparkSession, sample_path: str, store_path: str,
     """
     try:
         stored = spark.read.text(store_path).collect()
-        if stored:
+        if stored and stored[0][0].strip():
             return StructType.fromJson(json.loads(stored[0][0]))
-    except Exception:  # noqa: BLE001 - nothing stored yet
-        pass
+        raise ValueError(f"schema store {store_path} is empty")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a missing store is inferred anew
+            raise
     schema = spark.read.options(**options).format(fmt).load(sample_path).schema
     (spark.createDataFrame([(schema.json(),)], "schema string")
      .coalesce(1).write.mode("overwrite").text(store_path))

@@ -300,3 +300,57 @@ def test_history_flow_incremental_month(spark):
     assert flow["2024|02|w4"]["arrivals"] == 1 and flow["2024|02|7"]["departures"] == 1
     demand = {(r["member_casual"], r["rideable_type"]) for r in spark.table(names["demand"]).collect()}
     assert demand == {("member", "classic_bike"), ("casual", "electric_bike")}
+
+
+def test_publish_survives_a_stop_between_its_steps(spark):
+    """A version that is written and not switched to leaves the old table whole; a rerun succeeds,
+    also with another schema and with partitions."""
+    from bikelake.sinks.tables import prune_versions, switch, write_version
+    name, root = _name("crash"), _tmp()
+    publish(spark.createDataFrame([(1, "x")], "a long, p string"), name, root, batch_id=7)
+    for df, parts in ((spark.createDataFrame([(2, "y")], "a long, p string"), ()),
+                      (spark.createDataFrame([(2, "y", 1.0)], "a long, p string, c double"), ("p",))):
+        before = spark.table(name).collect()
+        write_version(df, name, root, parts)                     # stopped before the switch
+        assert spark.table(name).collect() == before
+        v, path = write_version(df, name, root, parts)
+        switch(spark, name, v, path)
+        assert [r.a for r in spark.table(name).collect()] == [2] and table_version(spark, name) == v
+    from bikelake.sinks.tables import last_batch
+    assert last_batch(spark, name) == 7
+    for k in range(4):
+        publish(spark.createDataFrame([(k, "x")], "a long, p string"), name, root)
+    assert prune_versions(spark, name, root, keep=2) >= 4 and spark.table(name).count() == 1
+
+
+def test_failing_gate_leaves_the_previous_version(spark):
+    from bikelake.operators.quality import DataTestFailure, not_null
+    from bikelake.plans.flows import _published_and_tested
+    cfg = Config(f"mobility_g{uuid.uuid4().hex[:6]}", _tmp())
+    cfg.ensure_databases(spark)
+    good, bad = (spark.createDataFrame([(x,)], "a long") for x in (1, None))
+    name = _published_and_tested(good, cfg, "m", [not_null("a")], "raise")
+    with pytest.raises(DataTestFailure):
+        _published_and_tested(bad, cfg, "m", [not_null("a")], "raise")
+    assert [r.a for r in spark.table(name).collect()] == [1]
+
+
+def test_csv_header_order_is_never_swapped(spark):
+    from bikelake.sources.files import load_dim
+    base = _tmp()
+    os.makedirs(base, exist_ok=True)
+    with open(f"{base}/seed.csv", "w") as f:
+        f.write("canonical_station_name,station_id,canonical_station_key\nName,5.10,key\n")
+    r = load_dim(spark, base, "station_id string, canonical_station_key string, canonical_station_name string").collect()
+    assert [tuple(x) for x in r] == [("5.1", "key", "Name")]
+
+
+def test_unreadable_schema_store_is_not_overwritten(spark):
+    from bikelake.sources.schemas import infer_schema
+    base = _tmp()
+    os.makedirs(f"{base}/store", exist_ok=True)
+    with open(f"{base}/store/part-0.txt", "w") as f:
+        f.write("not json")
+    with pytest.raises(ValueError):
+        infer_schema(spark, f"{base}/none", f"{base}/store")
+    assert open(f"{base}/store/part-0.txt").read() == "not json"

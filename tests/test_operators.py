@@ -70,8 +70,14 @@ EXPECTED_HEALTH = {
 }
 
 
+QUEUE_TEST = ["priority_rank", "station_id", "capacity", "health_status", "priority_level", "priority_score",
+              "recommended_action"]
+HEALTH_TEST = ["station_id", "capacity", "num_bikes_available", "num_docks_available", "disabled_assets",
+               "bike_availability_pct", "dock_availability_pct", "health_status"]
+
+
 def test_station_health_classes(spark):
-    h = station_health(spark.createDataFrame(STATIONS, STATION_COLS))
+    h = station_health(spark.createDataFrame(STATIONS, STATION_COLS), columns=HEALTH_TEST)
     got = {r["station_id"]: r["health_status"] for r in h.collect()}
     assert got == EXPECTED_HEALTH
     d = {r["station_id"]: r for r in h.collect()}
@@ -81,8 +87,8 @@ def test_station_health_classes(spark):
 
 
 def test_queue_scores_and_rank(spark):
-    h = station_health(spark.createDataFrame(STATIONS, STATION_COLS))
-    q = rebalancing_queue(h)
+    h = station_health(spark.createDataFrame(STATIONS, STATION_COLS), columns=HEALTH_TEST)
+    q = rebalancing_queue(h, columns=QUEUE_TEST)
     got = [(r["priority_rank"], r["station_id"], r["priority_level"], r["priority_score"],
             r["recommended_action"]) for r in q.orderBy("priority_rank").collect()]
     assert got == [
@@ -185,7 +191,7 @@ def test_lookup_join_and_unique(spark):
     dim = spark.createDataFrame([("1", "x")], "id string, k string")
     assert rows(lookup_join(fact, dim, "id")) == sorted(
         [("1", "x"), ("2", None), (None, None)], key=_nkey)
-    assert rows(lookup_join(fact, dim, "id", max_rows=0)) == rows(lookup_join(fact, dim, "id"))
+    assert rows(lookup_join(fact, dim, "id")) == rows(lookup_join(fact, dim, "id"))
     with pytest.raises(ValueError):
         assert_unique(spark.createDataFrame([("1",), ("1",)], "id string"), ["id"])
     assert_unique(spark.createDataFrame([(None,), (None,)], "id string"), ["id"])
@@ -249,3 +255,22 @@ def test_checks_and_gate(spark):
     assert len(gate(rep, on_fail="warn")) == 3
     assert gate(run_checks(df.filter("id = 2"), [not_null("id")], "t")) == []
 
+
+
+def test_describe_ignores_nan_and_unique_is_typed(spark):
+    from bikelake.operators.quality import run_checks, unique
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (4.0,), (None,)], "v double")
+    r = profile_describe(df, ["v"]).collect()[0]
+    assert (r["count"], r["min"], r["p25"], r["p50"], r["p75"], r["max"]) == (3, 1.0, 1.5, 2.0, 3.0, 4.0)
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "v double")
+    assert run_checks(zeros, [unique("v")]).collect()[0]["failures"] == 1
+
+
+def test_strict_gold_columns_and_unique_mapping(spark):
+    from bikelake.operators.trips import resolve_entity
+    with pytest.raises(Exception):
+        station_health(spark.createDataFrame(STATIONS, STATION_COLS))
+    twice = spark.createDataFrame([("1", "a", "A"), ("1", "b", "B")],
+                                  "station_id string, canonical_station_key string, canonical_station_name string")
+    with pytest.raises(ValueError):
+        resolve_entity(spark.createDataFrame([("1",)], "id string"), twice, "id")

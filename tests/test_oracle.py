@@ -15,7 +15,9 @@ import __spark_entry__ as E
 from tests.compare import compare, duck
 
 SF = os.environ.get("BIKELAKE_ORACLE_SF", "/root/testdata/sf0.001")
-KEYS = sorted(E.queries())
+from bikelake.plans.catalog import registry  # the large-text queries have tests of their own
+
+KEYS = sorted(registry()[1])
 
 
 @pytest.fixture(scope="module")
