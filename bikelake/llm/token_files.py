@@ -221,24 +221,20 @@ def _shards(index: DataFrame) -> DataFrame:
 def token_digests(folder: str, index: DataFrame) -> DataFrame:
     """Per document, read back from the files: ``doc_id, start, n_tokens, ids_crc32``; ``start``
     counts the ids of all documents before it over all shards."""
-    schema = pa.schema([("doc_id", pa.int64()), ("shard", pa.int32()), ("shard_start", pa.int64()),
-                        ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
+                        ("ids_crc32", pa.int64())])
 
     def digest(batches):
         fs, root = _filesystem(folder)
         for batch in batches:
-            for shard, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with fs.open_input_file(f"{root}/{name}") as f:
                     r = ShardReader(f, f.size())
-                    n = len(r.docs)
-                    crc = [zlib.crc32(r.ids(k).astype("<u4").tobytes()) for k in range(n)]
-                    yield batch_of(schema, [r.docs[:, 0], np.full(n, shard, np.int32),
-                                            r.first[:-1] // r.dtype.itemsize, r.docs[:, 1], crc])
+                    crc = [zlib.crc32(r.ids(k).astype("<u4").tobytes()) for k in range(len(r.docs))]
+                    yield batch_of(schema, [r.docs[:, 0], before + r.first[:-1] // r.dtype.itemsize, r.docs[:, 1], crc])
 
-    rows = _shards(index).mapInArrow(
-        digest, "doc_id long, shard int, shard_start long, n_tokens long, ids_crc32 long")
     # One row per shard: the running total over all shards is small at any input size.
-    total = index.groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
-    before = total.select("shard", (F.sum("tokens").over(Window.orderBy("shard")) - F.col("tokens")).alias("before"))
-    return (rows.join(before, "shard")
-            .select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "n_tokens", "ids_crc32"))
+    shards = index.groupBy("shard").agg(F.min("file").alias("file"), F.sum("n_tokens").alias("tokens"))
+    before = F.sum("tokens").over(Window.orderBy("shard")) - F.col("tokens")
+    return (shards.select("shard", "file", before.alias("before")).repartition("shard").select("file", "before")
+            .mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long"))
