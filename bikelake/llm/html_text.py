@@ -20,7 +20,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -85,7 +85,7 @@ def events(page: str):
             raw_until = None
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             yield "close", name, stack, None, ""
-            if depth is not None and (name in INLINE or True):
+            if depth is not None:
                 # an inline end tag closes nothing outside its own block
                 if name in INLINE and any(s[0] not in INLINE for s in stack[depth + 1:]):
                     continue
