@@ -93,3 +93,20 @@ def test_embedding_dedup_recall_and_precision(spark, shard):
     assert all(r.kept == (r.id == r.component_id) for r in got.values())
     assert all(got[i].n_links == 0 and got[i].kept for i, *_ in ODD[:5])
     assert hnsw.near_duplicates(spark, frame(spark, rows).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("noise", [0.01, 0.0])
+def test_no_member_of_a_large_copy_group_is_lost(noise):
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(1500, 32))
+    x[900:] = x[7] + noise * rnd.normal(size=(600, 32))
+    unit = hnsw._unit(x)
+    graph = hnsw.Graph(unit, np.arange(1500).astype(np.uint64))
+    linked = np.unique(graph.out[0])
+    assert set(range(1500)) - {graph.start} <= set(linked.tolist())
+    q = unit.astype(np.float32)
+    got = graph.near(q, np.float32(0.93), hnsw.SEARCH_BEAM)
+    true = [np.flatnonzero(graph.x @ v >= np.float32(0.93)) for v in q]
+    found = sum(len(np.intersect1d(a, b)) for a, b in zip(got, true))
+    assert found >= hnsw.AUDIT_RECALL * sum(map(len, true))
+    assert all(len(a) == len(set(a.tolist())) for a in got)
