@@ -131,7 +131,12 @@ def with_rescued(df: DataFrame, json_col: str, schema: StructType,
             F.array(*[F.when(typed[n].isNull() & raw[n].isNotNull(), e)
                       for n, e in zip(known, bad_entries)]),
             lambda e: e.isNotNull())
-        rescued = F.map_concat(unknown, F.map_from_entries(bad_arr))
+        bad = F.map_from_entries(bad_arr)
+        # Joined as text: a map function would reject a key that the feed repeats.
+        more, rest = F.to_json(unknown), F.to_json(bad)
+        rescued = (F.when(F.size(bad) <= 0, F.when(F.size(unknown) > 0, more))
+                   .when(F.size(unknown) <= 0, rest)
+                   .otherwise(F.concat(F.regexp_replace(more, r"\}$", ","), F.regexp_replace(rest, r"^\{", ""))))
     else:
-        rescued = unknown
-    return df.withColumn(out, F.when(F.size(rescued) > 0, F.to_json(rescued))).drop("_raw_map")
+        rescued = F.when(F.size(unknown) > 0, F.to_json(unknown))
+    return df.withColumn(out, rescued).drop("_raw_map")

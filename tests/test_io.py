@@ -354,3 +354,14 @@ def test_unreadable_schema_store_is_not_overwritten(spark):
     with pytest.raises(ValueError):
         infer_schema(spark, f"{base}/none", f"{base}/store")
     assert open(f"{base}/store/part-0.txt").read() == "not json"
+
+
+def test_repeated_unknown_key_is_rescued(spark):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from bikelake.sources.schemas import with_rescued
+    contract = StructType([StructField("id", StringType()), StructField("n", LongType())])
+    rows = [('{"id":"a","n":1}',), ('{"id":"b","x":1,"x":2}',), ('{"id":"c","x":1,"x":2,"n":"y"}',), (None,)]
+    got = with_rescued(spark.createDataFrame(rows, "j string"), "j", contract).collect()
+    assert {(r._parsed or [None])[0]: r._rescued_data for r in got} == {
+        "a": None, "b": '{"x":"1","x":"2"}', "c": '{"x":"1","x":"2","n":"y"}', None: None}
