@@ -460,24 +460,41 @@ def similarity_components(spark: SparkSession, docs: DataFrame, *, id_col: str =
     def links(assigned: DataFrame, name: str) -> DataFrame:
         """Ship the sets of ``(node, doc_id, cluster, block, probe, component)`` to their blocks; join there."""
         wanted = written(spark, assigned, f"{name}-to")
-        passes = spark.sparkContext.broadcast(id_filter(wanted.select("doc_id")))
-        schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("shingles", pa.binary())])
+        named, nameless = wanted.filter("doc_id IS NOT NULL"), wanted.filter("doc_id IS NULL").drop("doc_id")
 
-        def sets(batches):
-            bits = passes.value
-            for batch in batches:
-                ids = batch.column(0).to_numpy()
+        def sets_of(ids: DataFrame, by_node: bool):
+            passes = spark.sparkContext.broadcast(id_filter(ids))
+            schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("shingles", pa.binary())])
+
+            def passed(ids):
                 byte, bit = _filter_bits(ids)
-                hit = ((bits[byte] & bit) > 0).reshape(2, -1).all(axis=0)
-                found = [shingle_set(text, words) for text in texts_of(batch.column(1).filter(pa.array(hit)))]
-                yield batch_of(schema, [ids[hit], [set_hash(x) for x in found],
-                                        [x.astype("<u8").tobytes() for x in found]])
+                return ((passes.value[byte] & bit) > 0).reshape(2, -1).all(axis=0)
+
+            def sets(batches):
+                for batch in batches:
+                    ids, text = batch.column(0), batch.column(1)
+                    if not by_node:
+                        hit = pa.array(passed(ids.to_numpy()))
+                        ids, text = ids.filter(hit), text.filter(hit)
+                    found = [shingle_set(t, words) for t in texts_of(text)]
+                    node = np.array([set_hash(x) for x in found], np.int64)
+                    hit = np.flatnonzero(passed(node)) if by_node else range(len(found))
+                    yield batch_of(schema, [ids.take(pa.array(hit, pa.int64())), node[hit],
+                                            [found[k].astype("<u8").tobytes() for k in hit]])
+
+            return sets
 
         # Only texts that pass the filter are hashed and shuffled; the join is exact.  A
         # repeated id may stand for several texts: the node tells which one is meant.
-        shipped = (src.filter("doc_id IS NOT NULL")
-                   .mapInArrow(sets, "doc_id long, node long, shingles binary")
-                   .join(wanted, ["doc_id", "node"]).select("node", "shingles", "cluster", "block", "probe", "component"))
+        cols = ["node", "shingles", "cluster", "block", "probe", "component"]
+        made = "doc_id long, node long, shingles binary"
+        shipped = (src.filter("doc_id IS NOT NULL").mapInArrow(sets_of(named.select("doc_id"), False), made)
+                   .join(named, ["doc_id", "node"]).select(cols))
+        if nameless.take(1):
+            # Texts that only rows with a null id hold: found by their node, one row for each.
+            shipped = shipped.union(
+                src.filter("doc_id IS NULL").mapInArrow(sets_of(nameless.select("node"), True), made)
+                .groupBy("node").agg(F.first("shingles").alias("shingles")).join(nameless, "node").select(cols))
         return written(spark, shipped.groupBy("cluster", "block").applyInArrow(_block_links(percent), "a long, b long"), name)
 
     where = F.when(F.col("anchor"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("own"))

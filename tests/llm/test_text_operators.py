@@ -135,6 +135,19 @@ def test_ngram_join_repeated_and_null_ids_and_empty(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "None"]
 
 
+def test_ngram_join_null_id_links_and_bridges(spark):
+    base = [f"w{k}" for k in range(60)]
+    side = lambda a, b: " ".join([f"{a}{k}" for k in range(b)])
+    left, middle, right = (" ".join(base[k:k + 48]) for k in (0, 4, 8))  # neighbours are alike, the ends are not
+    near = "n " + side("v", 40)
+    rows = [(1, left), (None, middle), (None, middle), (2, right), (8, near), (None, near + " end"), (9, side("u", 9)),
+            (None, side("z", 30)), (None, side("z", 30) + " end")]
+    comp = {1: 1, 2: 1, 8: 8, 9: 9}
+    got = ngram_join.similarity_components(spark, docs(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == comp
+    assert sorted(str(r.component_id) for r in got if r.doc_id is None) == ["1", "1", "8", "None", "None"]
+
+
 # ---------------------------------------------------------------- chat
 
 def conversations(spark, rows):
