@@ -3,8 +3,8 @@
 The library spends most of its time on words it has merged before.  ``WordEncoder`` cuts a
 text where the vocabulary's own splitting rule always cuts (before a space that follows a
 non-space, and around a line feed between non-spaces), asks the library's model for every
-piece it has not seen, and keeps the answer.  A text with adjacent white space goes through
-the library whole.  Ids are the same as ``Tokenizer.encode`` gives (tested).
+piece it has not seen, and keeps the answer.  A text with adjacent white space, or with the
+string of a token added to the vocabulary, goes through the library whole.  Ids are the same as ``Tokenizer.encode`` gives (tested).
 """
 
 from __future__ import annotations
@@ -50,7 +50,8 @@ class WordEncoder:
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.whole = re.compile("|".join([_RUN.pattern, *added]))
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.dtype, self.code = (np.dtype("<u2"), "H") if small else (np.dtype("<u4"), "I")
         self.letters = _byte_letters()
@@ -77,7 +78,7 @@ class WordEncoder:
         """All ids of the text, as the smallest unsigned type that holds the vocabulary."""
         if not text:
             return np.empty(0, self.dtype)
-        if _RUN.search(text):
+        if self.whole.search(text):
             return np.frombuffer(self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids), self.dtype)
         if len(self.spaced) + len(self.first) > self.limit:
             self.spaced.clear()

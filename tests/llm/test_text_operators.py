@@ -204,6 +204,23 @@ def test_encoder_equals_library():
         assert enc.encode(s).tolist() == library_ids(s)
 
 
+def test_added_tokens_are_read_as_the_library_does(spark):
+    from tokenizers import Tokenizer
+    fresh = Tokenizer.from_file(default_vocabulary())
+    ids = lambda t: fresh.encode(t, add_special_tokens=False).ids
+    rnd, enc = random.Random(8), encoder(default_vocabulary())
+    parts = ["<|endoftext|>", "<|endoftext", "|>", "Hello", " x", " ", "\n", "'s", "é"]
+    for s in ["Hello <|endoftext|> x", *("".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(2000))]:
+        assert enc.encode(s).tolist() == ids(s)
+    texts = [(1, "Hello <|endoftext|> x"), (2, "plain words")]
+    folder, index = token_files.write_token_files(spark, docs(spark, texts))
+    got = {r.doc_id: (r.start, r.n_tokens) for r in token_files.token_digests(folder, index).collect()}
+    assert got == {1: (0, 5), 2: (5, 3)}
+    packed = packing.pack(spark, docs(spark, texts)).collect()
+    assert sorted((r.doc_id, r.ids_crc32) for r in packed) == [
+        (k, zlib.crc32(np.array(ids(t) + [2], "<u4").tobytes())) for k, t in texts]
+
+
 def test_token_files_round_trip(spark):
     folder, index = token_files.write_token_files(spark, docs(spark, TEXTS), frame_tokens=1000)
     got = sorted(tuple(r) for r in token_files.token_digests(folder, index).collect())
