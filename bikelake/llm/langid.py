@@ -3,7 +3,9 @@
 A text becomes the normalised TF-IDF vector of its hashed trigrams (letters lower-cased,
 anything else a gap).  Every language has several centroids, found by clustering its
 training vectors by cosine.  A text gets the language of the nearest centroid; one that is
-farther from it than the centroid's radius allows is rejected.
+farther from it than the centroid's radius allows is rejected.  Short texts lie farther from
+their centroid than long ones, so a centroid has a radius for each class of length (distinct
+trigrams), from a low quantile of its members' cosines and of those of excerpts of them.
 """
 
 from __future__ import annotations
@@ -16,11 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-FEATURES = 1 << 12
+BITS = 14
+FEATURES = 1 << BITS
 PER_LANGUAGE = 600       # bound of the training sample, in documents of each language
 MAX_LANGUAGES = 400      # bound of the languages a model may know
 CENTROIDS = 3
-RADIUS = 0.25            # a text is rejected below this share of its centroid's least member cosine
+QUANTILE = 0.02          # share of members and excerpts that may lie beyond the radius before its slack
+SLACK = 0.75             # a text is rejected below this share of that quantile
+EXCERPTS = (3, 6, 20, 80, 330, 1500)  # characters of the excerpts that set the radii of the classes of length
+FEW = 20                 # with fewer members in a class a centroid takes its language's radius
+SMALL = 0.05             # clusters below this share of a language's members are given up
 UNKNOWN = "und"
 
 _LETTERS: list[np.ndarray] = []
@@ -48,7 +55,12 @@ def counts_of(text: str) -> np.ndarray | None:
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x2C1B3C6D)
     gap = (codes[:-2] == 0) & (codes[1:-1] == 0) & (codes[2:] == 0)
-    return np.bincount((h >> np.uint32(20))[~gap], minlength=FEATURES).astype(np.float32)
+    return np.bincount((h >> np.uint32(32 - BITS))[~gap], minlength=FEATURES).astype(np.float32)
+
+
+def length_class(counts: np.ndarray) -> np.ndarray:
+    """Class of length of count rows: distinct trigrams below 4, 16, 64, 256, 1024 and above."""
+    return np.searchsorted([4, 16, 64, 256, 1024], np.count_nonzero(counts, axis=-1), "right")
 
 
 @dataclass
@@ -56,11 +68,13 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]      # of each centroid
-    least: np.ndarray         # cosine below which the centroid rejects
+    least: np.ndarray         # cosine below which the centroid rejects, by class of length
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
-        v = np.log1p(counts) * self.idf
-        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        v = np.log1p(counts)
+        v *= self.idf
+        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        return v
 
     def predict(self, texts: list[str | None], block: int = 256):
         """``(language, score, rejected)`` per text."""
@@ -70,8 +84,9 @@ class Model:
             known = [c for c in counts if c is not None]
             best, score = [], []
             if known and len(self.languages):
-                cos = self.vectors(np.stack(known)) @ self.centroids.T
-                best = cos.argmax(axis=1)
+                rows = np.stack(known)
+                cos = self.vectors(rows) @ self.centroids.T
+                best, length = cos.argmax(axis=1), length_class(rows)
                 score = np.clip(cos.max(axis=1), 0, 1)
             j = 0
             for c in counts:
@@ -79,42 +94,75 @@ class Model:
                     out.append((UNKNOWN, 0.0, True))
                 else:
                     b = int(best[j])
-                    out.append((self.languages[b], float(score[j]), bool(score[j] < self.least[b])))
+                    out.append((self.languages[b], float(score[j]), bool(score[j] < self.least[b, length[j]])))
                     j += 1
         return out
 
 
+def _clusters(x: np.ndarray, centroids: int, rounds: int) -> np.ndarray:
+    """Unit centroids of the rows.  A start is a row that lies far from the others, but nearer
+    than a tenth of the rows, so outliers start nothing; small clusters go to their neighbours."""
+    start = [int((x @ x.mean(axis=0)).argmax())]
+    while len(start) < min(centroids, len(x)):
+        start.append(int(np.argsort((x @ x[start].T).max(axis=1), kind="stable")[len(x) // 10]))
+    c = x[start]
+    while True:
+        for _ in range(rounds):
+            near = (x @ c.T).argmax(axis=1)
+            c = np.stack([x[near == k].mean(axis=0) if (near == k).any() else c[k] for k in range(len(c))])
+            c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
+        size = np.bincount((x @ c.T).argmax(axis=1), minlength=len(c))
+        if len(c) == 1 or size.min() >= max(2, SMALL * len(x)):
+            return c
+        c = np.delete(c, size.argmin(), axis=0)
+
+
+def _radii(model: Model, texts: list[str], c: np.ndarray) -> np.ndarray:
+    """Least cosine by (centroid, class of length) from the texts and excerpts of their middles."""
+    near, cos, length = [], [], []
+    for size in (None, *EXCERPTS):
+        cut = texts if size is None else [t[(len(t) - size) // 2:][:size] for t in texts if len(t) > size]
+        for k in range(0, len(cut), 256):
+            counts = [x for x in map(counts_of, cut[k:k + 256]) if x is not None]
+            if counts:
+                counts = np.stack(counts)
+                score = model.vectors(counts) @ c.T
+                near.append(score.argmax(axis=1))
+                cos.append(score.max(axis=1))
+                length.append(length_class(counts))
+    near, cos, length = map(np.concatenate, (near, cos, length))
+    out = np.zeros((len(c), len(EXCERPTS)))
+    for k in range(len(c)):
+        for j in range(len(EXCERPTS)):
+            own, every = cos[(near == k) & (length == j)], cos[length == j]
+            if len(every):
+                out[k, j] = SLACK * max(0.0, float(np.quantile(own if len(own) >= FEW else every, QUANTILE)))
+            elif j:
+                out[k, j] = out[k, j - 1]  # no member so long: as the next shorter ones
+    return out
+
+
 def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS, rounds: int = 8) -> Model:
     """Fit from (language, text); clusters start from spread-out members, without chance."""
-    by_lang: dict[str, list[np.ndarray]] = {}
+    by_lang: dict[str, list[str]] = {}
+    df, n = np.zeros(FEATURES, np.int64), 0
     for lang, text in sorted(rows):
         c = counts_of(text) if text else None
         if c is not None:
-            by_lang.setdefault(lang, []).append(c)
+            by_lang.setdefault(lang, []).append(text)
+            df += c > 0
+            n += 1
     if not by_lang:
-        return Model(np.ones(FEATURES, np.float32), np.zeros((0, FEATURES), np.float32), [], np.zeros(0))
-    n = sum(map(len, by_lang.values()))
-    df = sum(np.sum(np.stack(v) > 0, axis=0) for v in by_lang.values())
-    model = Model(np.log((1 + n) / (1 + df)).astype(np.float32) + 1, np.zeros((0, FEATURES)), [], np.zeros(0))
+        return Model(np.ones(FEATURES, np.float32), np.zeros((0, FEATURES), np.float32), [],
+                     np.zeros((0, len(EXCERPTS))))
+    model = Model(np.log((1 + n) / (1 + df)).astype(np.float32) + 1, np.zeros((0, FEATURES)), [], np.zeros((0, 0)))
     found, langs, least = [], [], []
-    for lang, v in sorted(by_lang.items()):
-        x = model.vectors(np.stack(v))
-        start = [int((x @ x.mean(axis=0)).argmax())]
-        while len(start) < min(centroids, len(x)):
-            start.append(int((x @ x[start].T).max(axis=1).argmin()))
-        c = x[start]
-        for _ in range(rounds):
-            near = (x @ c.T).argmax(axis=1)
-            c = np.stack([x[near == k].mean(axis=0) if (near == k).any() else c[k] for k in range(len(c))])
-            c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-        cos = x @ c.T
-        near = cos.argmax(axis=1)
-        for k in range(len(c)):
-            if (near == k).any():
-                found.append(c[k])
-                langs.append(lang)
-                least.append(RADIUS * max(0.0, float(cos[near == k, k].min())))
-    return Model(model.idf, np.stack(found).astype(np.float32), langs, np.array(least))
+    for lang, texts in sorted(by_lang.items()):
+        c = _clusters(model.vectors(np.stack([counts_of(t) for t in texts])), centroids, rounds)
+        found.append(c)
+        langs += [lang] * len(c)
+        least.append(_radii(model, texts, c))
+    return Model(model.idf, np.concatenate(found).astype(np.float32), langs, np.concatenate(least))
 
 
 def bounded_rows(docs: DataFrame, label: str, id_col: str, text_col: str, per_label: int,

@@ -333,6 +333,25 @@ def test_language_rejects_by_distance():
     assert model.predict(["漢字仮名交文漢字仮名交文"])[0][2] is True
 
 
+def test_language_rejects_long_text_of_unlearned_languages(spark):
+    held = langid.folds("doc_id", 3, 1)
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang IS NOT NULL AND text IS NOT NULL")
+    rows = known.select("lang", "text", held.alias("held")).collect()
+    outliers = [("en", "\u4e2d\u6587 \u5b57 " * 40 + str(k)) for k in range(3)]  # must not widen a radius or win a centroid
+    model = langid.fit([(r.lang, r.text) for r in rows if not r.held] + outliers)
+    rnd = random.Random(6)
+    words = lambda letters, n: " ".join("".join(rnd.choices(letters, k=rnd.randint(2, 9))) for _ in range(n))
+    finnish = ("Suomen luonto on monipuolinen ja metsät peittävät suurimman osan maasta. Järviä on tuhansia, ja "
+               "kesällä valoisat yöt houkuttelevat ihmiset mökeille uimaan, saunomaan ja kalastamaan. Talvella "
+               "lumi peittää maan ja hiihtäminen on yhä suosittu harrastus kaikenikäisten keskuudessa.")
+    base64 = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=2000))
+    odd = [words("abcdefghijklmnopqrstuvwxyz", 200), words("абвгдежзийклмнопрстуфхцчшщыьэюя", 2000), finnish, base64]
+    assert [r for _, _, r in model.predict(odd)] == [True] * 4
+    clean = [r for r in rows if r.held]
+    got = model.predict([r.text for r in clean])
+    assert np.mean([p[0] == r.lang and not p[2] for p, r in zip(got, clean)]) > 0.99
+
+
 def test_quality_ranking_and_edges(spark):
     rnd = random.Random(0)
     rows = []
