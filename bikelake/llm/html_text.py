@@ -9,8 +9,10 @@ is never part of an article count -1 and those under a tag that always is count
 that no labelled page shows take the prior below.
 
 Elements that are never text of an article (scripts, forms, menus, notices, adverts, reader
-comments ...) score nothing but the tag cost and are left out of the region.  What remains is
-cut into blocks.
+comments ...) score nothing but the tag cost and are left out of the region.  A container is
+one of them by a whole class, id or role that says so, unless it holds most of the page's
+words; where such a word is only part of a name, the element just has a weight of its own to
+be learned.  What remains is cut into blocks.
 """
 
 from __future__ import annotations
@@ -28,40 +30,46 @@ import pandas as pd
 
 LABELLED_PAGES = 2000  # bound of the sample of labelled pages
 
-RAW = frozenset("script style noscript template svg textarea title iframe object select canvas math".split())
-NEVER = RAW | frozenset("nav header footer aside form button menu dialog head figcaption label fieldset "
-                        "audio video map".split())
+RAW = frozenset("script style noscript template svg textarea title iframe object select canvas".split())
+NEVER = RAW | frozenset("nav header footer aside form button menu dialog head fieldset audio map".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp "
-                   "small span strike strong sub sup time tt u var wbr".split())
+                   "small span strike strong sub sup time tt u var wbr label "
+                   "math mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder "
+                   "munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LABELS = ("article", "main")
-#: Words in class, id or role that name an element which is no part of an article.
-NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|sponsored|promo|banner|sidebar|menu|nav|navbar|"
-                   r"navigation|breadcrumbs?|footer|comments?|cookies?|notices?|popup|modal|newsletter|"
-                   r"subscribe|share|social|related|widget|disclaimer|complementary|contentinfo|search|"
-                   r"hidden)(?=$|[\s_-])", re.I)
+#: Names (class, id or role) of a container that is no part of an article.
+NAMES = ("ads?|adverts?|advertisements?|sponsored|promo|banner|sidebar|menu|nav|navbar|navigation|breadcrumbs?|"
+         "footer|comments?|cookies?|notices?|popup|modal|newsletter|subscribe|share|social|related|widget|"
+         "disclaimer|complementary|contentinfo|search|hidden")
+NAMED = re.compile(rf"(?:^|[\s_-])({NAMES})(?=$|[\s_-])", re.I)
+WHOLE = re.compile(rf"(?:^|\s)({NAMES})(?=$|\s)", re.I)
+#: Elements that no name leaves out or gives a weight of its own.
+UNNAMED = frozenset("h1 h2 h3 h4 h5 h6 p figcaption body html".split())
 PRIOR = {**{t: 2.0 for t in NEVER}, "a": 1.0, "ul": 0.0, "li": 0.0}
 TAG_COST = 0.01
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
                     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
-_NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMES = re.compile(r"(?<![^\s\"'])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
 def _key(name: str, attributes: str) -> tuple[str, bool]:
     """Weight key of a tag, and whether its names say that it is no part of an article."""
-    if "=" in attributes and name not in LABELS and name not in ("body", "html"):
+    if "=" in attributes and name not in LABELS and name not in UNNAMED:
         named = " ".join(x for m in _NAMES.findall(attributes) for x in m if x)
-        found = NAMED.search(named)
+        whole = WHOLE.search(named)
+        found = whole or NAMED.search(named)
         if found:
-            return f"{name}.{found[0].strip(' _-').lower()}", True
+            return f"{name}.{found[1].lower()}", bool(whole) and name not in INLINE
     return name, False
 
 
 def events(page: str):
-    """``(kind, key, under, out, text)`` in page order.  kind: text, open, close; under: keys
-    of the open elements; out: inside an element that is never text of an article."""
-    stack: list[tuple[str, str, bool]] = []
+    """``(kind, key, under, number, text)`` in page order.  kind: text, open, close; under: the
+    open elements as (tag, key, never text of an article, number if only its name says so);
+    number: that of the element that opens."""
+    stack: list[tuple[str, str, bool, int | None]] = []
     at, raw_until = 0, None
     pos = 0
     while True:
@@ -104,9 +112,10 @@ def events(page: str):
             # a block element ends an open paragraph
             k = max(i for i, s in enumerate(stack) if s[0] == "p")
             del stack[k:]
-        yield "open", key, stack, None, name
+        number = pos if named and name not in NEVER else None
+        yield "open", key, stack, number, name
         if name not in VOID and not m[3].rstrip().endswith("/"):
-            stack.append((name, key, named or name in NEVER))
+            stack.append((name, key, named or name in NEVER, number))
             if name in RAW:
                 raw_until = name
     if at < len(page) and not raw_until:
@@ -135,18 +144,28 @@ def extract(page: str | None, weights: dict[str, float] | None = None) -> str:
     if not page:
         return ""
     known = {**PRIOR, **(weights or {})}
+    weight = lambda key: known[key] if key in known else known.get(key.split(".")[0], 0.0)
+    read = [(kind, key, tuple(stack), number, text) for kind, key, stack, number, text in events(page)]
+    total, held_by = 0, Counter()
+    for kind, _, stack, _, text in read if any(r[3] is not None for r in read) else ():
+        if kind == "text" and not any(s[2] and s[3] is None for s in stack):
+            n = len(text.split())
+            total += n
+            held_by.update({s[3]: n for s in stack if s[3] is not None})
+    most = {number for number, n in held_by.items() if 2 * n > total}
+    left_out = lambda stack: any(s[2] and s[3] not in most for s in stack)
     steps: list[tuple[float, str, bool]] = []  # score, text (None for a block break), left out
-    for kind, key, stack, _, text in events(page):
+    for kind, key, stack, number, text in read:
         if kind == "text":
             words = len(text.split())
-            out = any(s[2] for s in stack)
+            out = left_out(stack)
             # what is left out anyway must not split the article around it
-            worst = max((known.get(s[1], 0.0) for s in stack), default=0.0)
+            worst = max((weight(s[1]) for s in stack), default=0.0)
             steps.append((0.0 if out else words * (1.0 - worst), text, out))
         else:
             name = text if kind == "open" else key
-            out = name in NEVER or "." in key or any(s[2] for s in stack)
-            steps.append((-TAG_COST if out else -TAG_COST - known.get(key, 0.0), None if name not in INLINE | RAW else "", False))
+            out = name in NEVER or (number is not None and number not in most) or left_out(stack)
+            steps.append((-TAG_COST if out else -TAG_COST - weight(key), None if name not in INLINE | RAW else "", False))
     best, best_range, run, start = 0.0, (0, 0), 0.0, 0
     for k, (score, _, _) in enumerate(steps):
         if run <= 0:

@@ -395,6 +395,24 @@ def test_html_extraction(spark):
     assert html_text.extract_pages(spark, df.limit(0)).count() == 0
 
 
+def test_html_names_do_not_drop_headings_captions_or_the_article():
+    body = "<p>" + "long text of words. " * 20 + "</p>"
+    text = ("long text of words. " * 20).strip()
+    for name in ("related-work", "search", "share-price", "comments-on-the-proof", "social-history", "related"):
+        assert html_text.extract(page(f"<div><h2 id='{name}'>A heading</h2>{body}</div>")) == f"A heading\n{text}"
+        assert html_text.extract(page(f"<div><p class='{name}'>Short one.</p>{body}</div>")) == f"Short one.\n{text}"
+    for name in ("widget", "entry widget", "social-history"):
+        assert html_text.extract(page(f"<div class='{name}'><h1>Title</h1>{body}</div>")) == f"Title\n{text}"
+    assert html_text.extract(page(f"<div>{body}<div data-id='search' data-role='nav'>Kept here.</div>{body}</div>")) \
+        == f"{text}\nKept here.\n{text}"
+    rest = ("<figure><img><figcaption>The caption.</figcaption></figure><p><label>Name</label> of "
+            "<math><mi>x</mi><mo>=</mo><mn>1</mn></math> here</p><video>A film.</video>")
+    assert html_text.extract(page(f"<div>{body}{rest}{body}</div>")) \
+        == f"{text}\nThe caption.\nName of x=1 here\nA film.\n{text}"
+    for name in ("ad", "box ad", "Widget", "comments"):
+        assert html_text.extract(page(f"<div>{body}<div class='{name}'>Buy this now</div>{body}</div>")) == f"{text}\n{text}"
+
+
 # ---------------------------------------------------------------- mixing
 
 def test_mixing_is_a_fair_permutation(spark):
