@@ -11,10 +11,18 @@ rest in one more, and then is used up; the others go on, so the mix holds every
 once.  Quotas therefore change at most twice per source, and the slots of a period are worked
 out once per distinct set of quotas: a table whose size depends on the sources and the period,
 not on the documents.
+
+Where a source's target lies below one slot, the period grows until the smallest target is a
+slot, so that no source is paid for with the share of the others.  The period's slots are then
+worked out once, with every source's full quota; the slots of blocks that a source no longer has are
+left out, and the blocks that remain are numbered in that order by a range sort.  The others thus
+keep their shares of each other also while sources run out within a long period.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,9 +33,8 @@ PERIOD = 100
 SMOOTHING = 0.7  # without given weights, a source's share is its number of documents to this power
 
 
-def _weights(sizes: DataFrame, given: dict[str, float] | None, spark: SparkSession, period: int,
-             smoothing: float) -> DataFrame:
-    """``(sk, n_docs, c)``: integer weights by largest remainder, at least one slot each."""
+def _targets(sizes: DataFrame, given: dict[str, float] | None, spark: SparkSession, smoothing: float) -> DataFrame:
+    """``(sk, n_docs, w, total)``: target weights, 0 for sources without one, and their sum."""
     if given is None:
         w = sizes.withColumn("w", F.pow(F.col("n_docs").cast("double"), F.lit(smoothing)))
     else:
@@ -35,9 +42,16 @@ def _weights(sizes: DataFrame, given: dict[str, float] | None, spark: SparkSessi
         w = sizes.join(rows.select(_source_key("source").alias("sk"), "w"), "sk", "left").select(
             "sk", "n_docs", F.coalesce(F.when(F.col("w") > 0, F.col("w")), F.lit(0.0)).alias("w"))
     # One row per source: these windows run over the source table, not over documents.
+    w = w.withColumn("total", F.sum("w").over(Window.partitionBy()))
+    return w.withColumn("w", F.when(F.col("total") > 0, F.col("w")).otherwise(F.lit(1.0))).withColumn(
+        "total", F.sum("w").over(Window.partitionBy()))
+
+
+def _weights(targets: DataFrame, period: int, unweighted: int = 0) -> DataFrame:
+    """``(sk, n_docs, c)``: integer weights by largest remainder; ``unweighted`` sources without
+    a target get one slot each, and the others share what is left of the period."""
     every = Window.partitionBy()
-    w = (w.withColumn("total", F.sum("w").over(every))
-         .withColumn("exact", F.when(F.col("total") > 0, F.col("w") / F.col("total") * period).otherwise(F.lit(0.0)))
+    w = (targets.withColumn("exact", F.col("w") / F.col("total") * (period - unweighted))
          .withColumn("base", F.greatest(F.lit(1).cast("long"), F.floor("exact").cast("long")))
          .withColumn("rest", F.lit(period) - F.sum("base").over(every))
          .withColumn("n", F.row_number().over(every.orderBy(F.desc(F.col("exact") - F.floor("exact")), "sk"))))
@@ -73,7 +87,7 @@ def schedule(spark: SparkSession, docs: DataFrame, *, weights: dict[str, float]
 
     A source's documents are taken in order of the MD5 of the id (then the id).  A null source
     is a source of its own; sources without a given weight, or with none above 0, get one slot
-    per period; a null id is an id of its own; rows that repeat id and source share one place.
+    per period, which the others make room for; a null id is an id of its own; rows that repeat id and source share one place.
     An empty table gives no row.
     """
     d = (docs.select(F.col(id_col).alias("doc_id"), _source_key(source_col).alias("sk")).distinct()
@@ -85,11 +99,24 @@ def schedule(spark: SparkSession, docs: DataFrame, *, weights: dict[str, float]
     before = parts.select("sk", "part", (F.sum("n").over(Window.partitionBy("sk").orderBy("part"))
                                          - F.col("n")).alias("before"))
     sizes = parts.groupBy("sk").agg(F.sum("n").alias("n_docs"))
-    plan = written(spark, _weights(sizes, weights, spark, period, smoothing)
+    targets = written(spark, _targets(sizes, weights, spark, smoothing), "mix-targets")
+    least, unweighted = targets.agg(F.min(F.when(F.col("w") > 0, F.col("w") / F.col("total"))),
+                                    F.count(F.when(F.col("w") == 0, 1))).first()
+    grown = bool(unweighted) or least is not None and least * period < 1
+    if grown:
+        period *= math.ceil(1 / (least * period)) + unweighted
+    plan = written(spark, _weights(targets, period, unweighted)
                    .withColumn("blocks", F.expr(f"(n_docs + {block_docs - 1}) div {block_docs}"))
                    .withColumn("full", F.expr("blocks div c"))
                    .withColumn("i", F.row_number().over(Window.partitionBy().orderBy("sk")) - 1), "mix-plan")
 
+    numbered = (d.withColumn("r", F.row_number().over(Window.partitionBy("part", "sk").orderBy("k", "doc_id")) - 1)
+                .join(before, ["part", "sk"]).withColumn("n", F.col("before") + F.col("r"))
+                .withColumn("block", F.expr(f"n div {block_docs}")))
+    if grown:
+        placed = _placed_by_range(spark, numbered.filter(f"n % {block_docs} = 0").select("sk", "block"), plan, period)
+        return _positions(numbered.join(placed, ["sk", "block"]), block_docs)
+
     # Quotas change only after a source's last whole period and after the one that follows.
     segments = (plan.agg(F.array_sort(F.collect_list(F.struct("i", "c", "full", "blocks"))).alias("every"))
                 .withColumn("segment", F.explode(F.expr(
@@ -99,24 +126,41 @@ def schedule(spark: SparkSession, docs: DataFrame, *, weights: dict[str, float]
                 .withColumn("len", F.expr("aggregate(q, 0L, (a, x) -> a + x)"))
                 .filter("len > 0")
                 .withColumn("start", F.expr("aggregate(every, 0L, (a, s) -> a + least(s.blocks, s.c * segment))"))
-                .select("segment", "q", "len", "start"))
+                .select("segment", "q", "len", "start").repartition("segment"))
     slots = (segments.select("segment", "len", "start", F.posexplode(F.expr(EDF)).alias("t", "i"))
              .withColumn("j", F.row_number().over(Window.partitionBy("segment", "i").orderBy("t")) - 1))
     slots = written(spark, slots, "mix-slots")
     changes = slots.groupBy("i").agg(F.array_sort(F.collect_set("segment")).alias("segments"))
     plan = written(spark, plan.join(changes, "i").select("sk", "i", "c", "segments"), "mix-sources")
 
-    numbered = (d.withColumn("r", F.row_number().over(Window.partitionBy("part", "sk").orderBy("k", "doc_id")) - 1)
-                .join(before, ["part", "sk"]).withColumn("n", F.col("before") + F.col("r"))
-                .withColumn("block", F.expr(f"n div {block_docs}")))
     # Period of the block, the segment of equal quotas that holds it, its number in the period.
-    return (numbered.join(plan, "sk")
-            .withColumn("period", F.expr("block div c")).withColumn("j", F.expr("cast(block % c as int)"))
-            .withColumn("segment", F.expr("element_at(filter(segments, x -> x <= period), -1)"))
-            .join(slots, ["segment", "i", "j"])
-            .withColumn("slot", F.expr("start + (period - segment) * len + t"))
-            .select("doc_id", F.when(F.col("sk") != "n", F.expr("substring(sk, 2)")).alias("source"), "sk", "block", "slot",
-                    F.expr(f"slot * {block_docs} + n % {block_docs}").alias("position")))
+    return _positions(numbered.join(plan, "sk")
+                      .withColumn("period", F.expr("block div c")).withColumn("j", F.expr("cast(block % c as int)"))
+                      .withColumn("segment", F.expr("element_at(filter(segments, x -> x <= period), -1)"))
+                      .join(slots, ["segment", "i", "j"])
+                      .withColumn("slot", F.expr("start + (period - segment) * len + t")), block_docs)
+
+
+def _positions(numbered: DataFrame, block_docs: int) -> DataFrame:
+    return numbered.select("doc_id", F.when(F.col("sk") != "n", F.expr("substring(sk, 2)")).alias("source"), "sk", "block",
+                           "slot", F.expr(f"slot * {block_docs} + n % {block_docs}").alias("position"))
+
+
+def _placed_by_range(spark: SparkSession, blocks: DataFrame, plan: DataFrame, period: int) -> DataFrame:
+    """``(sk, block, slot)``: blocks in the order of one period of full quotas, repeated."""
+    slots = (plan.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "c"))), lambda s: s.c).alias("q"))
+             .withColumn("len", F.lit(period).cast("long"))
+             .select(F.posexplode(F.expr(EDF)).alias("t", "i"))
+             .withColumn("j", F.row_number().over(Window.partitionBy("i").orderBy("t")) - 1))
+    slots = written(spark, slots, "mix-slots")
+    at = (blocks.join(plan.select("sk", "i", "c"), "sk").withColumn("j", F.expr("cast(block % c as int)"))
+          .join(slots, ["i", "j"]).select("sk", "block", F.expr(f"(block div c) * {period}L + t").alias("at")))
+    at = written(spark, at.repartitionByRange("at").withColumn("part", F.spark_partition_id()), "mix-at")
+    # One row per partition.
+    parts = at.groupBy("part").agg(F.count("*").alias("size")).withColumn(
+        "first", F.sum("size").over(Window.orderBy("part")) - F.col("size"))
+    return (at.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("at")) - 1)
+            .join(parts, "part").select("sk", "block", (F.col("first") + F.col("r")).alias("slot")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, *, source_col: str = "source", id_col: str = "doc_id",

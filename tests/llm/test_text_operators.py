@@ -434,3 +434,16 @@ def test_mixing_is_a_fair_permutation(spark):
     assert mixed.columns == docs(spark, []).columns and mixed.count() == len(rows)
     assert mixing.schedule(spark, docs(spark, [])).count() == 0
     assert mixing.mix(spark, docs(spark, [])).count() == 0
+
+
+def test_mixing_meets_targets_below_one_slot(spark):
+    rows = [(k, "t", "hot") for k in range(400)] + [(1000 + k, "t", f"s{k % 200}") for k in range(800)]
+    weights = {"hot": 0.5, **{f"s{k}": 0.0025 for k in range(200)}}
+    got = mixing.schedule(spark, docs(spark, rows), weights=weights, block_docs=1).collect()
+    assert sorted(r.slot for r in got) == list(range(1200))
+    order = [r.source for r in sorted(got, key=lambda r: r.slot)]
+    for t in range(1, 801):                 # until hot is used up; before: hot got 50 slots in 250
+        assert abs(order[:t].count("hot") - t * 0.5) < 1
+    for s in ("s0", "s77", "s199"):
+        for t in range(1, 801):
+            assert abs(order[:t].count(s) - t * 0.0025) < 1
