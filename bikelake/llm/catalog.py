@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bikelake.llm import bitslice, chat, hnsw, html_text, langid, mixing, ngram_join, packing, quality, token_files
+from bikelake.llm import (bitslice, chat, hnsw, html_text, langid, mixing, ngram_join, packing, quality, spelling,
+                          token_files, turn_repair, warc)
 from bikelake.llm.common import ship_package, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,3 +207,163 @@ WITH RECURSIVE words AS (
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.r) AS component_id
 FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, len(s.s)
 """
+
+
+@query
+def op11_warc_revisits(spark, sf_dir):
+    """Every page as a WARC record, archives deduplicated by payload, and read back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    folder, index = warc.write_archives(spark, pages)
+    folder, index = warc.deduplicate(spark, folder, index)
+    records = written(spark, warc.read_records(spark, folder, index), "warc-records")
+    return warc.resolved_records(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL["op11_warc_revisits"] = """
+WITH hashed AS (
+  SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), digits AS (   -- five hexadecimal digits are four of base 32
+  SELECT *, list_transform(range(8), lambda k: ('0x' || substr(hex, 5 * k + 1, 5))::BIGINT) AS five FROM hashed
+), digest AS (
+  SELECT page_id, url, payload_bytes, array_to_string(list_transform(range(32),
+    lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((five[k // 4 + 1] >> (15 - 5 * (k % 4))) & 31) + 1, 1)), '') AS payload_digest
+  FROM digits
+), placed AS (
+  SELECT *, row_number() OVER w AS k, first_value(page_id) OVER w AS first_page
+  FROM digest WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, url NULLS FIRST)
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN k > 1 THEN first_page END AS refers_to
+FROM placed
+"""
+
+#: DuckDB has no crc32: its table of 256 entries by the rule of the polynomial, and the digest
+#: of a column's UTF-8 bytes.
+CRC_TABLE = """crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+)"""
+
+
+def crc32_sql(text: str) -> str:
+    data = f"list_transform(range(strlen({text})), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    return (f"xor(list_reduce(list_prepend(4294967295, {data}), "
+            "lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)")
+
+
+@query
+def op12_turn_repair(spark, sf_dir):
+    """All conversations, damaged by rule, repaired at least cost."""
+    return turn_repair.repair(spark, turn_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+ORACLE_SQL["op12_turn_repair"] = r"""
+WITH RECURSIVE %s, raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), hashed AS (
+  SELECT * EXCLUDE t, %s %% 20 AS h FROM raw, crc
+), hurt AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE h WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed WHERE h <> 0
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+    substr(role, 1, 1) AS c, regexp_extract(text, '([^ 	-
+])[ 	-
+]*\z', 1) AS last
+  FROM hurt
+), faulty AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+    WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    k > 1 AND lag(c) OVER w || c NOT IN ('su', 'ua', 'au') AS illegal
+  FROM ordered WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal, max(k) AS n
+  FROM faulty GROUP BY conv_id
+), togo AS (   -- cheapest (cost, audit) after row k in each state of the grammar: start, s, u, a; then the texts
+  SELECT conv_id, n AS k, {'c': 0, 'e': '', 't': []::VARCHAR[]} AS z,
+    {'c': 10, 'e': 'II', 't': ['user:', 'assistant:']} AS s, {'c': 5, 'e': 'I', 't': ['assistant:']} AS u,
+    {'c': 0, 'e': '', 't': []::VARCHAR[]} AS a
+  FROM counts
+  UNION ALL
+  SELECT conv_id, k,
+    least(z, {'c': u.c + 5, 'e': 'I' || u.e, 't': list_prepend('user:', u.t)}),
+    least(s, {'c': u.c + 5, 'e': 'I' || u.e, 't': list_prepend('user:', u.t)}), u, a
+  FROM (SELECT conv_id, k, z, s,
+      least(u, {'c': a.c + 5, 'e': 'I' || a.e, 't': list_prepend('assistant:', a.t)}) AS u,
+      least(a, {'c': u.c + 5, 'e': 'I' || u.e, 't': list_prepend('user:', u.t)}) AS a
+    FROM (SELECT conv_id, k,
+        list_min(list_filter([{'c': z.c + 2, 'e': 'D' || z.e, 't': z.t},
+          {'c': u.c + x + 1, 'e': 'R' || u.e, 't': list_prepend('user:' || text, u.t)},
+          {'c': CASE c WHEN 's' THEN s.c WHEN 'u' THEN u.c ELSE 1000000000 END + x,
+           'e': 'K' || CASE c WHEN 's' THEN s.e ELSE u.e END,
+           't': list_prepend(role || ':' || text, CASE c WHEN 's' THEN s.t ELSE u.t END)}], lambda o: NOT must OR o.e[1] = 'D')) AS z,
+        list_min(list_filter([{'c': s.c + 2, 'e': 'D' || s.e, 't': s.t},
+          {'c': u.c + x + 1, 'e': 'R' || u.e, 't': list_prepend('user:' || text, u.t)},
+          {'c': CASE c WHEN 'u' THEN u.c ELSE 1000000000 END + x, 'e': 'K' || u.e, 't': list_prepend(role || ':' || text, u.t)}],
+          lambda o: NOT must OR o.e[1] = 'D')) AS s,
+        list_min(list_filter([{'c': u.c + 2, 'e': 'D' || u.e, 't': u.t},
+          {'c': a.c + x + 1, 'e': 'R' || a.e, 't': list_prepend('assistant:' || text, a.t)},
+          {'c': CASE c WHEN 'a' THEN a.c ELSE 1000000000 END + x, 'e': 'K' || a.e, 't': list_prepend(role || ':' || text, a.t)}],
+          lambda o: NOT must OR o.e[1] = 'D')) AS u,
+        list_min(list_filter([{'c': a.c + 2, 'e': 'D' || a.e, 't': a.t},
+          {'c': u.c + x + 1, 'e': 'R' || u.e, 't': list_prepend('user:' || text, u.t)},
+          {'c': CASE c WHEN 'u' THEN u.c ELSE 1000000000 END + x, 'e': 'K' || u.e, 't': list_prepend(role || ':' || text, u.t)}],
+          lambda o: NOT must OR o.e[1] = 'D')) AS a
+      FROM (SELECT t.conv_id, t.k - 1 AS k, z, s, u, a, c, role, text,
+              fault IN ('blank', 'duplicate') AS must, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS x
+            FROM togo t JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM t.conv_id AND f.k = t.k)))
+)
+SELECT i.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(z.c, 0)::BIGINT AS cost, coalesce(z.e, '') AS audit,
+  sha256(coalesce(array_to_string(z.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN togo g ON g.conv_id IS NOT DISTINCT FROM i.conv_id AND g.k = 0
+""" % (CRC_TABLE, crc32_sql("key"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    """Words of all documents, one code point damaged by rule, with form and root."""
+    return spelling.spelling_variants(spark, table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op13_spelling_variants"] = """
+WITH RECURSIVE %s, runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-zÀ-ÿ]+')) AS run FROM documents
+), kinds AS (
+  SELECT run, count(*) AS n, coalesce(doc_id::VARCHAR, '') || ':' || run AS key FROM runs GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, %s AS h FROM kinds, crc
+), words AS (
+  SELECT CASE WHEN h %% 31 = 0 THEN substr(run, 1, (h %% length(run))::INT) || substr(run, (h %% length(run))::INT + 2) ELSE run END AS word,
+    sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2
+), holes AS (
+  SELECT word, n, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS m FROM holes a JOIN holes b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM holes a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM holes a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, min({'m': -m, 'near': near}) AS b FROM pairs GROUP BY word
+), found AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN -b.m >= 10 * w.n THEN b.near END AS form, CASE WHEN -b.m >= 10 * w.n THEN -b.m END::BIGINT AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), way(word, here) AS (
+  SELECT word, word FROM found
+  UNION ALL SELECT way.word, f.form FROM way JOIN found f ON f.word = way.here WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, way.here AS root, f.n, f.n_near, f.form_n
+FROM found f JOIN way USING (word) JOIN found e ON e.word = way.here WHERE e.form IS NULL
+""" % (CRC_TABLE, crc32_sql("key"))

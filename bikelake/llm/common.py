@@ -45,6 +45,33 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_uri(spark: SparkSession, folder: str) -> str:
+    """``folder`` with scheme and authority, as Spark resolves it: a folder without a scheme
+    lies in Hadoop's default file system, not on each executor's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.makeQualified(path).toString().rstrip("/")
+
+
+def open_folder(uri: str):
+    """File system and path of a folder URI, for files that are not tables (in tasks)."""
+    from pyarrow import fs
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else uri)
+
+
+def lookup_spread(rows: DataFrame, found: DataFrame, keys: list[str], spread: list[str], salts: int = 256) -> DataFrame:
+    """Left join of ``rows`` to ``found`` (one row per key) where one key may hold a third of
+    ``rows``: they are dealt by key and a salt of ``spread``, and ``found`` is first joined to
+    the (key, salt) pairs that occur, at most ``salts`` per key."""
+    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).alias("__salt")
+    rows = rows.select("*", salt)
+    pairs = rows.select(*keys, "__salt").distinct().join(found, keys)
+    return rows.join(pairs, [*keys, "__salt"], "left").drop("__salt")
+
+
 def texts_of(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of every text of an Arrow string column; null counts as empty."""
     for v in column.cast(pa.binary()):
