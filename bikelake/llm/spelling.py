@@ -154,7 +154,9 @@ def near_pairs(spark: SparkSession, words: DataFrame, *, min_length: int = MIN_L
                                             part.column(0).take(pa.array(at)), part.column(1).take(pa.array(at))])
 
     out = "list long, own byte, word string, n long"
-    entries = written(spark, words.select("word", "n").mapInArrow(lists, out), "gram-lists")
+    # words are few bytes and much work: dealt to a stated number of tasks, not by size
+    dealt = words.select("word", "n").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
+    entries = written(spark, dealt.mapInArrow(lists, out), "gram-lists")
     a, b = entries.alias("a"), entries.alias("b")
     near = F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1
     lengths = F.abs(F.length("a.word") - F.length("b.word")) <= 1

@@ -23,7 +23,7 @@ def test_query_matches_sql(spark, key):
 
 def test_all_operators_are_registered():
     names = set(E.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
 
 
 def test_pipeline_stages_against_brute_force(spark):
