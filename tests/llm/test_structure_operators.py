@@ -285,7 +285,7 @@ def word_rows(rng):
     rows = [(rng.choice([None, *range(400)]), rng.choice([" ", "\n", "7", "-", "Ω"]).join(
         rng.choice([str, str.upper, str.title])(rng.choice(words[:rng.choice([3, 60, len(words)])])) for _ in range(40))) for _ in range(250)]
     return rows + rows[:30] + [(1, None), (2, ""), (3, "x" * 20_000 + " " + "x" * 20_000 + " " + "x" * 19_999), (4, "x" * 19_999),
-                               (6, "chainedx " * 300 + "chained " * 30 + "chaned " * 3), (7, "chained " * 2 + "chainet " * 2),
+                               (6, "chainedx " * 600 + "chained " * 30 + "chaned " * 3), (7, "chained " * 2 + "chainet " * 2),
                (5, "WORDWORD " * 900 + "wordword wordwor wordwor wordwork wordwork " * 3)]
 
 
