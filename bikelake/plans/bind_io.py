@@ -267,5 +267,5 @@ def q_incremental_current_state(spark: SparkSession, sf: str) -> DataFrame:
               .option("maxFilesPerTrigger", 1).json(f"{base}/in"))
     name = unique_name("state")
     incremental_state(stream, name, f"{base}/tables", ["user_id"], ["ts", "event_id"],
-                      f"{base}/ckpt")
+                      f"{base}/ckpt", buckets=4)
     return spark.table(name).select("user_id", "event_id", "ts", "event_type", "value")
