@@ -13,6 +13,7 @@ from bikelake.config import Config
 from bikelake.plans import derive
 from bikelake.plans.bind_gold import HEALTH_CTES, HEALTH_SELECT, QUEUE_TAIL, SIDE_SQL, flow_sql
 from bikelake.plans.bind_io import CSV_EXACT, SILVER_TRIPS_SQL, STATUS_ELEMENT_SQL, _land_trips
+from bikelake.plans.bind_profile import SNAPSHOT_CUT
 from bikelake.plans.catalog import query
 from bikelake.plans.flows import TRIP_ARRIVALS, TRIP_DEPARTURES, run_history, run_live
 from bikelake.session import scratch_path
@@ -81,6 +82,20 @@ def q_live_health(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(_live(spark, sf)["health"]).drop("_silver_updated_at")
 
 
+@query("live_second_run", sql=_LIVE_CTES.rstrip().rstrip(",") + f"\n    select {HEALTH_SELECT} from h")
+def q_live_second_run(spark: SparkSession, sf: str) -> DataFrame:
+    """G1 ST5: the live flow run twice, the second time with the documents after the cut: it
+    reads the new files and the changed stations only and gives the rows of a full build."""
+    cfg = _config(spark, "again")
+    docs = derive.status_documents(load_table(spark, sf, "events"))
+    cut = F.unix_seconds(F.lit(SNAPSHOT_CUT).cast("timestamp"))
+    _land_docs(derive.information_documents(load_table(spark, sf, "customer")), cfg.landing("station_information"))
+    for part in (docs.filter(F.col("last_updated") < cut), docs.filter(F.col("last_updated") >= cut)):
+        _land_docs(part, cfg.landing("station_status"))
+        names = run_live(spark, cfg, multi_line=False, on_fail="report")
+    return spark.table(names["health"]).drop("_silver_updated_at")
+
+
 SEED_SQL = """
     select regexp_replace(regexp_replace(regexp_replace(cast(n_nationkey as varchar) || '.10', '_+$', ''),
                           '(\\.\\d*?[1-9])0+$', '\\1'), '\\.0+$', '') as station_id,

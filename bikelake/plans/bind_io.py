@@ -24,8 +24,9 @@ from bikelake.session import scratch_path
 from bikelake.sinks.landing import JSON_TS_FORMAT, land_snapshots, read_landed
 from bikelake.sinks.tables import publish, upsert
 from bikelake.sources.files import feed_url
-from bikelake.sources.schemas import DISCOVERY, STATION_STATUS, TRIP_COLUMNS, all_strings
+from bikelake.sources.schemas import DISCOVERY, STATION_STATUS, TRIP_COLUMNS, all_strings, remembered_schema
 from bikelake.sources.tables import load_table
+from bikelake.streaming.feeds import bronze_view, ingest_csv, ingest_feed
 from bikelake.streaming.ingest import clean_trips_stream, ingest_snapshots, ingest_trips
 from bikelake.streaming.state import incremental_state
 
@@ -175,21 +176,113 @@ TRIP_ROWS_SQL = """
 TRIP_SCHEMA = all_strings(TRIP_COLUMNS, {"year": IntegerType(), "month": IntegerType()})
 
 
+TRIP_PARTITIONS = [StructField("year", IntegerType()), StructField("month", IntegerType())]
+
+
 def _land_trips(spark: SparkSession, sf: str, path: str) -> None:
     rows = derive.trip_rows(load_table(spark, sf, "events"))
     land_snapshots(rows, path, "_ts", grain="month", fmt="csv", drop_ts=True, **CSV_EXACT)
 
 
 @query("trips_csv_stream", sql=f"""
-    select * exclude (_ts), cast(year(_ts) as integer) as year, cast(month(_ts) as integer) as month
+    select * exclude (_ts), cast(year(_ts) as integer) as year, cast(month(_ts) as integer) as month,
+           case when cast(trim(ride_id)[2:] as bigint) % 2 = 1
+                then '{{"surcharge":"' || trim(ride_id)[2:] || '"}}' end as _rescued_data
     from ({TRIP_ROWS_SQL})""")
 def q_trips_csv_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Trip CSVs under year=/month= folders -> incremental CSV stream
-    (all strings, partition columns typed) -> lineage -> checkpointed append."""
+    """Trip CSVs under year=/month= folders, half of them with their columns in
+    another order and one more column -> files read by header -> united by name, unknown
+    column rescued, partition columns typed, lineage -> one folder per batch."""
     base = scratch_path(spark, "bronze_trips")
-    _land_trips(spark, sf, f"{base}/in")
-    ingest_trips(spark, f"{base}/in", TRIP_SCHEMA, f"{base}/ckpt", path=f"{base}/out")
-    return spark.read.parquet(f"{base}/out").select(*TRIP_COLUMNS, "year", "month")
+    rows = derive.trip_rows(load_table(spark, sf, "events"))
+    odd = F.substring(F.trim("ride_id"), 2, 20).cast("long") % 2 == 1
+    later = rows.filter(odd).select("_ts", F.substring(F.trim("ride_id"), 2, 20).alias("surcharge"),
+                                    *reversed(TRIP_COLUMNS))
+    for part in (rows.filter(~odd), later):
+        land_snapshots(part, f"{base}/in", "_ts", grain="month", fmt="csv", drop_ts=True, **CSV_EXACT)
+    ingest_csv(spark, f"{base}/in", TRIP_COLUMNS, TRIP_PARTITIONS, f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out/rows").select(*TRIP_COLUMNS, "year", "month", "_rescued_data")
+
+
+_FAULTY_SQL = """
+    with e as (
+      select event_id, user_id, ts, event_id // 256 as blk,
+             cast(cast(ts as date) as varchar) || '/' || cast(event_id // 256 as varchar) as doc
+      from events)
+    select case when blk % 11 = 5 then 'document' else 'envelope' end as reason,
+           case when blk % 11 = 5 then doc
+                when blk % 3 = 0 then '{"doc":"' || doc || '","ttl":"soon"}'
+                else '{"doc":"' || doc || '"}' end as content,
+           cast(null as bigint) as ttl
+    from (select distinct blk, doc from e)
+    union all
+    select case when event_id % 50 = 0 then 'element' else 'row' end,
+           case when event_id % 50 = 0 then cast(event_id as varchar)
+                else cast(user_id as varchar) || '@' || cast(cast(floor(epoch(ts)) as bigint) as varchar) end,
+           case when event_id % 50 <> 0 and blk % 3 <> 0 then 60 end
+    from e where blk % 11 <> 5"""
+
+
+@query("feed_quarantine", sql=_FAULTY_SQL)
+def q_feed_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Status documents with a new envelope key, some truncated, with a mistyped envelope
+    value or with elements that are no objects -> bronze rows, everything else quarantined."""
+    base = scratch_path(spark, "quarantine")
+    derive.faulty_status_texts(load_table(spark, sf, "events")).write.text(f"{base}/in")
+    ingest_feed(spark, f"{base}/in", STATION_STATUS, f"{base}/contract", f"{base}/bronze", f"{base}/quarantine",
+                f"{base}/ckpt", multi_line=False, max_files=16)
+    rows = spark.table(bronze_view(spark, unique_name("faulty"), f"{base}/contract", f"{base}/bronze"))
+    bad = spark.read.parquet(f"{base}/quarantine")
+    # a truncated document is kept as it is: shown here by its label
+    content = F.when(F.col("reason") == "document", F.regexp_extract("content", '"doc":"([^"]*)"', 1)).otherwise(F.col("content"))
+    return bad.select("reason", content.alias("content"), F.lit(None).cast("long").alias("ttl")).unionByName(
+        rows.select(F.lit("row").alias("reason"), F.concat_ws("@", "station_id", F.col("last_reported").cast("string")).alias("content"), "ttl"))
+
+
+@query("feed_evolution", sql=f"""
+    with s as ({STATUS_ELEMENT_SQL.replace("as last_reported,", "as last_reported, event_id, ts,", 1)})
+    select station_id, num_bikes_available, is_installed, last_reported,
+           case when last_updated >= epoch(timestamp '{SNAPSHOT_CUT}') then event_id end as event_id, last_updated
+    from s""")
+def q_feed_evolution(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed that gains a field.  Documents before the cut lack ``event_id``, the later ones
+    have it: the second run makes it a column of the next contract version, and bronze, read
+    through the union of both versions, shows NULL in the old rows."""
+    base = scratch_path(spark, "evolution")
+    docs = derive.status_documents(load_table(spark, sf, "events"))
+    cut = F.unix_seconds(F.lit(SNAPSHOT_CUT).cast("timestamp"))
+    without = F.transform(F.col("data.stations"), lambda e: e.dropFields("event_id"))
+    old = docs.filter(F.col("last_updated") < cut).withColumn("data", F.struct(without.alias("stations")))
+    name = unique_name("evolving")
+    for part in (old, docs.filter(F.col("last_updated") >= cut)):
+        part.drop("_day").write.mode("append").json(f"{base}/in")
+        ingest_feed(spark, f"{base}/in", STATION_STATUS, f"{base}/contract", f"{base}/bronze", f"{base}/quarantine",
+                    f"{base}/ckpt", multi_line=False)
+        bronze_view(spark, name, f"{base}/contract", f"{base}/bronze")
+    return spark.table(name).select("station_id", "num_bikes_available", "is_installed", "last_reported", "event_id",
+                                    "last_updated")
+
+
+@query("remembered_schema", sql=f"""
+    select user_id, case when ts >= timestamp '{SNAPSHOT_CUT}' then value else floor(value) end as value,
+           case when ts >= timestamp '{SNAPSHOT_CUT}' then event_type else cast(event_id as varchar) end as label,
+           case when ts >= timestamp '{SNAPSHOT_CUT}' then event_id end as event_id
+    from events""")
+def q_remembered_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Types inferred from a feed's first files are remembered; later files widen them
+    (``value`` long to double, ``label`` long to string) and add a field.  All files read
+    through the remembered contract."""
+    base = scratch_path(spark, "remembered")
+    ev = load_table(spark, sf, "events")
+    cut = F.lit(SNAPSHOT_CUT).cast("timestamp")
+    ev.filter(F.col("ts") < cut).select("user_id", F.floor("value").alias("value"), F.col("event_id").alias("label")) \
+        .write.json(f"{base}/in/run=1")
+    remembered_schema(spark, f"{base}/in/run=1", f"{base}/contract")
+    ev.filter(F.col("ts") >= cut).select("user_id", "value", F.col("event_type").alias("label"), "event_id") \
+        .write.json(f"{base}/in/run=2")
+    _, schema = remembered_schema(spark, f"{base}/in/run=2", f"{base}/contract")
+    return spark.read.schema(schema).json([f"{base}/in/run=1", f"{base}/in/run=2"]) \
+        .select("user_id", "value", "label", "event_id")
 
 
 def _regex_id(c: str) -> str:

@@ -53,6 +53,23 @@ def status_documents(events: DataFrame) -> DataFrame:
                        F.lit("2.3").alias("version"), F.struct("stations").alias("data"))
 
 
+def faulty_status_texts(events: DataFrame) -> DataFrame:
+    """Status snapshots as one JSON text a line (column ``value``) with faults by rule: every
+    document has a ``doc`` key outside the contract, each third block's ``ttl`` is no number,
+    each fiftieth event is a bare number, each eleventh block's text lacks its end."""
+    blk = F.col("_blk")
+    bare = F.col("event_id") % 50 == 0
+    element = F.when(bare, F.col("event_id").cast("string")).otherwise(F.to_json(status_element(events).dropFields("event_id")))
+    g = events.groupBy(F.to_date("ts").alias("_day"), _floor_div(F.col("event_id"), DOC_SIZE).alias("_blk"))
+    docs = g.agg(F.max(F.unix_seconds("ts")).alias("last_updated"), F.array_join(F.collect_list(element), ",").alias("list"))
+    doc = F.concat(F.col("_day").cast("string"), F.lit("/"), blk.cast("string"))
+    text = F.concat(F.lit('{"doc":"'), doc, F.lit('","last_updated":'), F.col("last_updated").cast("string"),
+                    F.lit(',"ttl":'), F.when(blk % 3 == 0, '"soon"').otherwise("60"),
+                    F.lit(',"version":"2.3","data":{"stations":['), F.col("list"), F.lit("]}}"))
+    cut = F.expr("substr(value, 1, length(value) - 2)")
+    return docs.select(blk, text.alias("value")).select(F.when(blk % 11 == 5, cut).otherwise(F.col("value")).alias("value"))
+
+
 def information_documents(customer: DataFrame) -> DataFrame:
     """Information snapshots: customers as stations (names with direction/number pairs)."""
     c = F.col

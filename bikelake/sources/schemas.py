@@ -9,6 +9,7 @@ value does not parse as the contracted type — are preserved in ``_rescued_data
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -109,6 +110,67 @@ def infer_schema(spark: SparkSession, sample_path: str, store_path: str,
     return schema
 
 
+def merge_types(a: DataType, b: DataType) -> DataType:
+    """The narrowest type that holds both: long widens to double, all else to string (the
+    value's JSON text)."""
+    if a == b:
+        return a
+    if {type(a), type(b)} == {LongType, DoubleType}:
+        return DoubleType()
+    return StringType()
+
+
+def merge_contracts(old: StructType, new: StructType) -> StructType:
+    """Fields of ``old`` in their order, types widened where ``new`` needs it, then the new
+    fields.  Names that differ in case only are one column to Spark: the first one stays."""
+    found = {f.name: f.dataType for f in new.fields}
+    fields = [StructField(f.name, merge_types(f.dataType, found[f.name]) if f.name in found else f.dataType)
+              for f in old.fields]
+    held = {f.name.lower() for f in fields}
+    for f in new.fields:
+        if f.name.lower() not in held:
+            held.add(f.name.lower())
+            fields.append(StructField(f.name, f.dataType))
+    return StructType(fields)
+
+
+def contract_versions(spark: SparkSession, store: str) -> dict[int, StructType]:
+    """All versions of a contract: one folder ``v<NNNNNN>`` each, never written again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(store)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = {}
+    for status in fs.listStatus(path) if fs.exists(path) else []:
+        name = status.getPath().getName()
+        if re.fullmatch(r"v\d{6}", name):
+            rows = spark.read.text(f"{store}/{name}").collect()
+            if rows:                                  # else: a stop while the version was written
+                found[int(name[1:])] = StructType.fromJson(json.loads(rows[0][0]))
+    return found
+
+
+def remember_contract(spark: SparkSession, store: str, contract: StructType) -> tuple[int, StructType]:
+    """Merge ``contract`` into the newest remembered version; a wider one becomes the next."""
+    versions = contract_versions(spark, store)
+    last = max(versions, default=0)
+    merged = merge_contracts(versions[last], contract) if last else contract
+    if last and merged == versions[last]:
+        return last, merged
+    (spark.createDataFrame([(merged.json(),)], "contract string").coalesce(1)
+     .write.mode("overwrite").text(f"{store}/v{last + 1:06d}"))
+    return last + 1, merged
+
+
+def remembered_schema(spark: SparkSession, sample_path: str, store: str, fmt: str = "json",
+                      **options) -> tuple[int, StructType]:
+    """Version and schema: what sample files show now merged with what earlier runs knew.
+
+    A field that the sample lacks stays, one that it shows wider (long, then double, then
+    string) widens, a new one is added at the end; a sample that shows nothing wider makes
+    no new version.
+    """
+    return remember_contract(spark, store, spark.read.options(**options).format(fmt).load(sample_path).schema)
+
+
 def with_rescued(df: DataFrame, json_col: str, schema: StructType,
                  out: str = "_rescued_data", parsed: str = "_parsed") -> DataFrame:
     """Parse ``json_col`` with ``schema`` into ``parsed`` and keep what does not fit.
