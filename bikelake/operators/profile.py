@@ -9,11 +9,10 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bikelake.functions.clean import round_decimal
-from bikelake.operators.rank import global_rank
 
 
 def profile_nulls(df: DataFrame) -> DataFrame:
@@ -85,68 +84,92 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str],
 _QUANTILES = (0.25, 0.5, 0.75)
 
 
-def _exact_quantiles(values: DataFrame, n: int, qs=_QUANTILES) -> dict[float, Column]:
-    """Linear-interpolated quantiles (pandas / ``percentile``) from a distributed rank.
+def _number(c: str) -> Column:
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)  # NaN is a missing value
 
-    The column is range-sorted and ranked without a single-partition window;
-    only the <= 2 rows per quantile at the needed ranks reach the final aggregate.
+
+def _narrowed(df: DataFrame, wanted: list[tuple], max_bracket: int, accuracy: int) -> list[dict]:
+    """A bracket of values around the ranks of every wanted ``(column, low rank, high rank, n)``.
+
+    Each round takes approximate quantiles a little below and above the ranks, within the
+    bracket so far, for all columns in one pass, then counts what lies below and within the new
+    brackets in another.  A bracket is done when it holds ``max_bracket`` rows or one value.
+    """
+    found = [{"c": c, "lo": lo, "hi": hi, "low": None, "high": None, "below": 0, "rows": n, "open": n > 0}
+             for c, lo, hi, n in wanted]
+
+    def inside(b: dict) -> Column:
+        v = _number(b["c"])
+        return v.isNotNull() if b["low"] is None else v.between(b["low"], b["high"])
+
+    while any(b["open"] for b in found):
+        work = [b for b in found if b["open"]]
+        aims = []
+        for k, b in enumerate(work):
+            margin = 2.0 / accuracy
+            f = [max(0.0, (b["lo"] - b["below"]) / b["rows"] - margin), min(1.0, (b["hi"] - b["below"] + 1) / b["rows"] + margin)]
+            aims.append(F.percentile_approx(F.when(inside(b), _number(b["c"])), f, accuracy).alias(f"p{k}"))
+        bounds = df.agg(*aims).first()
+        news = [{**b, "low": bounds[k][0], "high": bounds[k][1]} for k, b in enumerate(work)]
+        counts = df.agg(*[e for k, b in enumerate(news) for e in (
+            F.count_if(_number(b["c"]) < b["low"]).alias(f"b{k}"), F.count_if(inside(b)).alias(f"i{k}"))]).first()
+        for k, (b, new) in enumerate(zip(work, news)):
+            below, rows = counts[f"b{k}"], counts[f"i{k}"]
+            holds = below <= b["lo"] and b["hi"] < below + rows
+            smaller = holds and (b["low"] is None or rows < b["rows"])
+            if holds:
+                b.update(low=new["low"], high=new["high"], below=below, rows=rows)
+            b["open"] = smaller and rows > max_bracket and b["low"] < b["high"]
+    return found
+
+
+def _exact_quantiles(df: DataFrame, counts: dict[str, int], qs=_QUANTILES, max_bracket: int = 1_000_000,
+                     accuracy: int = 10_000) -> dict[tuple[str, float], float]:
+    """Linear-interpolated quantiles (pandas / ``percentile``) of several columns.
+
+    Narrow brackets around the needed ranks first; only their rows are grouped by value and
+    ordered, so no column is sorted and a value that a third of the rows hold is one row.
     """
-    ranked = global_rank(values, [F.col("v").asc()], name="r")
-    want = set()
-    pos = {}
-    for q in qs:
-        p = q * (n - 1)
-        lo, hi = math.floor(p), math.ceil(p)
-        pos[q] = (p, lo, hi)
-        want.update({lo + 1, hi + 1})
-    picked = ranked.filter(F.col("r").isin(sorted(want)))
-    exprs = []
-    for q in qs:
-        p, lo, hi = pos[q]
-        vlo = F.max(F.when(F.col("r") == lo + 1, F.col("v")))
-        vhi = F.max(F.when(F.col("r") == hi + 1, F.col("v")))
-        exprs.append((vlo + (vhi - vlo) * F.lit(p - lo)).alias(f"q{int(q * 100)}"))
-    return picked.agg(*exprs)
+    place = {(c, q): q * (n - 1) for c, n in counts.items() if n for q in qs}
+    found = _narrowed(df, [(c, math.floor(p), math.ceil(p), counts[c]) for (c, _), p in place.items()], max_bracket, accuracy)
+    if not found:
+        return {}
+    cells = F.array(*[F.when(_number(b["c"]).isNotNull() if b["low"] is None else _number(b["c"]).between(b["low"], b["high"]),
+                             F.struct(F.lit(k).alias("k"), _number(b["c"]).alias("v"))) for k, b in enumerate(found)])
+    values = (df.select(F.inline(F.filter(cells, lambda x: x.isNotNull()))).groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("upto", F.sum("n").over(Window.partitionBy("k").orderBy("v"))))
+    ranks = F.create_map(*[F.lit(x) for k, b in enumerate(found) for x in (k, [b["lo"] - b["below"], b["hi"] - b["below"]])])
+
+    def at(i: int) -> Column:
+        rank = ranks[F.col("k")][i]
+        return F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col("v")))
+
+    picked = {r.k: r for r in values.groupBy("k").agg(at(0).alias("lo"), at(1).alias("hi")).collect()}
+    return {key: picked[k].lo + (picked[k].hi - picked[k].lo) * (p - math.floor(p)) if picked[k].hi != picked[k].lo
+            else picked[k].lo for k, (key, p) in enumerate(place.items())}
 
 
 def profile_describe(df: DataFrame, cols: Sequence[str], exact: bool = True,
-                     accuracy: int = 100_000) -> DataFrame:
+                     accuracy: int = 100_000, max_bracket: int = 1_000_000) -> DataFrame:
     """``describe()`` per numeric column: count, mean, std, min, 25/50/75 %, max.
 
-    ``exact=True`` computes interpolated quantiles through a distributed rank;
-    ``exact=False`` uses ``percentile_approx`` (one pass, bounded memory).
-    Values are rounded to 6 decimals.  One row per column.
+    All columns share every pass.  ``exact=True`` finds the interpolated quantiles by bracket
+    selection; ``exact=False`` uses ``percentile_approx`` (one pass, bounded memory).
+    Values are rounded to 6 decimals.  One row per column; the driver holds no other.
     """
-    out = None
-    for c in cols:
-        v = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))  # NaN is a missing value
-        basic = v.agg(F.count(F.lit(1)).alias("count"), F.avg("v").alias("mean"),
-                      F.stddev_samp("v").alias("std"), F.min("v").alias("min"),
-                      F.max("v").alias("max"))
-        if exact:
-            n = basic.select("count").first()[0]
-            if n:
-                qdf = _exact_quantiles(v, n)
-            else:
-                qdf = v.agg(*[F.lit(None).cast("double").alias(f"q{int(q * 100)}") for q in _QUANTILES])
-        else:
-            qdf = v.agg(F.percentile_approx("v", list(_QUANTILES), accuracy).alias("qa")).select(
-                *[F.col("qa")[i].alias(f"q{int(q * 100)}") for i, q in enumerate(_QUANTILES)])
-        # Both sides are one-row aggregates: stack them and take the non-NULL value
-        # of every column (no join, no cross product).
-        qcols = [f"q{int(q * 100)}" for q in _QUANTILES]
-        bcols = ["count", "mean", "std", "min", "max"]
-        stacked = basic.select(F.col("count").cast("double").alias("count"), *bcols[1:],
-                         *[F.lit(None).cast("double").alias(x) for x in qcols]) \
-            .unionByName(qdf.select(*[F.lit(None).cast("double").alias(x) for x in bcols], *qcols))
-        row = stacked.agg(*[F.max(x).alias(x) for x in bcols + qcols])
-        row = row.select(
-            F.lit(c).alias("column_name"), F.col("count").cast("long").alias("count"),
-            *[round_decimal(F.col(x), 6).alias(x) for x in ("mean", "std", "min")],
-            *[round_decimal(F.col(f"q{int(q * 100)}"), 6).alias(f"p{int(q * 100)}") for q in _QUANTILES],
-            round_decimal(F.col("max"), 6).alias("max"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    cols = list(cols)
+    one = df.agg(*[e.alias(f"{x}{k}") for k, c in enumerate(cols) for x, e in (
+        ("count", F.count(_number(c))), ("mean", F.avg(_number(c))), ("std", F.stddev_samp(_number(c))),
+        ("min", F.min(_number(c))), ("max", F.max(_number(c))),
+        *([] if exact else [("q", F.percentile_approx(_number(c), list(_QUANTILES), accuracy))]))]).first()
+    found = _exact_quantiles(df, {c: one[f"count{k}"] for k, c in enumerate(cols)}, max_bracket=max_bracket) if exact else {
+        (c, q): one[f"q{k}"][i] for k, c in enumerate(cols) if one[f"count{k}"] for i, q in enumerate(_QUANTILES)}
+    rows = [(c, one[f"count{k}"], one[f"mean{k}"], one[f"std{k}"], one[f"min{k}"], *[found.get((c, q)) for q in _QUANTILES], one[f"max{k}"])
+            for k, c in enumerate(cols)]
+    names = ["mean", "std", "min", *[f"p{int(q * 100)}" for q in _QUANTILES], "max"]
+    table = df.sparkSession.createDataFrame(rows, "column_name string, count long, " + ", ".join(f"{x} double" for x in names))
+    return table.select("column_name", "count", *[round_decimal(F.col(x), 6).alias(x) for x in names])
 
 
 def profile_report(df: DataFrame, n: int = 5, order: Sequence[Column] | None = None) -> dict:

@@ -4,8 +4,8 @@ Scale notes
 -----------
 * Every aggregate here is a hash aggregate with a partial (map-side) step, so a
   hot station or hour is reduced to one row per task before the shuffle.
-* The mapping dimension is joined with a size-checked broadcast
-  (``operators.joins.lookup_join``); beyond the bound it falls back to a shuffle join.
+* The mapping dimension meets the pre-aggregated rows (one per month, raw id, name and
+  side), never the raw rows; Catalyst and AQE choose broadcast or shuffle by size.
 * ``monthly_flow`` reads each side once and replaces the two aggregates plus the
   full outer join of the SQL formulation by ONE aggregate over a side-tagged
   union; ``monthly_flow_join`` keeps the literal join form and is tested equal.
@@ -66,25 +66,26 @@ def resolve_entity(df: DataFrame, mapping: DataFrame, id_col: str, name_col: str
     return out.drop("_mid", "_mkey", "_mname")
 
 
-def _resolved(df: DataFrame, ts, id_col, name_col, lat, lng,
-              mapping: DataFrame | None, map_key: str, carry=()) -> DataFrame:
-    """Rows with a non-blank id, resolved to a canonical key."""
-    side = df.select(
+def _side_rows(df: DataFrame, ts, id_col, name_col, lat, lng, carry=()) -> DataFrame:
+    """Rows of one side with a non-blank raw id (F2)."""
+    return df.select(
         F.year(_c(ts)).alias("ride_year"),
         F.month(_c(ts)).alias("ride_month"),
-        _c(id_col).alias("_id"),
-        _c(name_col).alias("_name"),
+        _c(id_col).cast("string").alias("_id"),
+        _c(name_col).cast("string").alias("_name"),
         _c(lat).cast("double").alias("_lat"),
         _c(lng).cast("double").alias("_lng"),
         *carry,
     ).filter(non_blank("_id"))
+
+
+def _resolved(state: DataFrame, mapping: DataFrame | None, map_key: str) -> DataFrame:
+    """Pre-aggregated rows with the canonical key and name of their raw id (J2, X10): the
+    mapping meets one row per month, id and name, never the raw rows."""
     if mapping is None:
-        return side.select("ride_year", "ride_month", F.col("_id").alias("station_key"),
-                           F.col("_name").alias("station_name_raw"), "_lat", "_lng", *carry)
-    joined = resolve_entity(side, mapping, "_id", "_name", key_out="station_key",
-                            name_out="station_name_raw", map_key=map_key)
-    return joined.select("ride_year", "ride_month", "station_key", "station_name_raw",
-                         "_lat", "_lng", *carry)
+        return state.withColumnsRenamed({"_id": "station_key", "_name": "station_name_raw"})
+    return resolve_entity(state, mapping, "_id", "_name", key_out="station_key",
+                          name_out="station_name_raw", map_key=map_key).drop("_id", "_name")
 
 
 def _mean(total: str, n: str):
@@ -92,15 +93,14 @@ def _mean(total: str, n: str):
     return F.when(F.col(n) > 0, F.col(total) / F.col(n))
 
 
-def _pre_aggregate(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Hash pre-aggregation on (keys, name): count and coordinate sums.
+def _pre_aggregate(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Mergeable sums and counts per month, raw id and name (and ``keys``).
 
-    ``max(string)`` cannot use a fixed-width hash buffer and would turn the whole
-    aggregate into a sort-based one over every input row; grouping by the name
-    first keeps the heavy step a (partial) hash aggregate, and only one row per
-    distinct name reaches the sort-based ``max``.
+    The only step over raw rows, a hash aggregate with a partial step: ``max(string)``
+    cannot use a fixed-width hash buffer, so names are keys here, and only one row per
+    distinct name reaches the sort-based ``max`` of the final aggregate.
     """
-    return df.groupBy(*keys, "station_name_raw").agg(
+    return df.groupBy("ride_year", "ride_month", "_id", "_name", *keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("_lat").alias("_sl"), F.count("_lat").alias("_cl"),
         F.sum("_lng").alias("_sg"), F.count("_lng").alias("_cg"))
@@ -110,8 +110,7 @@ def monthly_side(df: DataFrame, ts, id_col, name_col, lat, lng,
                  mapping: DataFrame | None = None, count_as: str = "departures",
                  map_key: str = "station_id") -> DataFrame:
     """Monthly departures (or arrivals) per canonical station (A2/A3)."""
-    r = _resolved(df, ts, id_col, name_col, lat, lng, mapping, map_key)
-    p = _pre_aggregate(r, FLOW_KEYS)
+    p = _resolved(_pre_aggregate(_side_rows(df, ts, id_col, name_col, lat, lng)), mapping, map_key)
     return (
         p.groupBy(*FLOW_KEYS)
         .agg(F.max("station_name_raw").alias("station_name"),
@@ -156,15 +155,10 @@ def monthly_flow_join(departures: DataFrame, arrivals: DataFrame) -> DataFrame:
     ))
 
 
-def monthly_flow(dep_rows: DataFrame, arr_rows: DataFrame, mapping: DataFrame | None,
-                 dep: dict, arr: dict, map_key: str = "station_id") -> DataFrame:
-    """Monthly station flow in one aggregate.
-
-    ``dep``/``arr`` give the columns of each side: ``ts, id, name, lat, lng``.
-    Both sides are resolved, tagged and unioned; one grouped aggregate computes
-    per-side measures.  Rows whose year or month is NULL keep the side in their
-    grouping key, which reproduces the full outer join exactly (NULLs never match).
-    """
+def flow_state(dep_rows: DataFrame, arr_rows: DataFrame, dep: dict, arr: dict, keys: Sequence[str] = ()) -> DataFrame:
+    """Mergeable state of the monthly flow: sums and counts per month, raw id, name and side
+    (and ``keys``, columns of the rows).  States of disjoint rows are united by ``flow_of``."""
+    keys = list(keys)
     if dep_rows is arr_rows:
         # Departures and arrivals come from the same rows (trips): read them once
         # and emit two tagged rows per trip instead of scanning the table twice.
@@ -174,19 +168,34 @@ def monthly_flow(dep_rows: DataFrame, arr_rows: DataFrame, mapping: DataFrame |
                      _c(spec["lat"]).cast("double").alias("lat"),
                      _c(spec["lng"]).cast("double").alias("lng"), F.lit(flag).alias("_dep"))
             for spec, flag in ((dep, True), (arr, False))])
-        rows = dep_rows.select(F.explode(sides).alias("_s")).select("_s.*")
-        u = _resolved(rows, "ts", "id", "name", "lat", "lng", mapping, map_key,
-                      carry=["_dep"])
+        rows = dep_rows.select(F.explode(sides).alias("_s"), *keys).select("_s.*", *keys)
+        u = _side_rows(rows, "ts", "id", "name", "lat", "lng", carry=["_dep", *keys])
     else:
         def tagged(rows, spec, is_dep):
-            r = _resolved(rows, spec["ts"], spec["id"], spec["name"], spec["lat"], spec["lng"],
-                          mapping, map_key)
+            r = _side_rows(rows, spec["ts"], spec["id"], spec["name"], spec["lat"], spec["lng"], carry=keys)
             return r.withColumn("_dep", F.lit(is_dep))
 
         u = tagged(dep_rows, dep, True).unionByName(tagged(arr_rows, arr, False))
+    return _pre_aggregate(u, ["_dep", *keys])
+
+
+def monthly_flow(dep_rows: DataFrame, arr_rows: DataFrame, mapping: DataFrame | None,
+                 dep: dict, arr: dict, map_key: str = "station_id") -> DataFrame:
+    """Monthly station flow (A2 A3 J3 X11 X12): ``flow_of`` the rows' state.
+
+    ``dep``/``arr`` give the columns of each side: ``ts, id, name, lat, lng``.
+    """
+    return flow_of(flow_state(dep_rows, arr_rows, dep, arr), mapping, map_key)
+
+
+def flow_of(state: DataFrame, mapping: DataFrame | None, map_key: str = "station_id") -> DataFrame:
+    """Monthly station flow of a state: ids resolved, both sides in one grouped aggregate.
+
+    Rows whose year or month is NULL keep the side in their grouping key, which
+    reproduces the full outer join exactly (NULLs never match).
+    """
     null_part = F.when(F.col("ride_year").isNull() | F.col("ride_month").isNull(), F.col("_dep"))
-    u = u.withColumn("_nullside", null_part)
-    p = _pre_aggregate(u, FLOW_KEYS + ["_nullside", "_dep"])
+    p = _resolved(state, mapping, map_key).withColumn("_nullside", null_part)
     d, a = F.col("_dep"), ~F.col("_dep")
 
     def side_sum(cond, c):

@@ -58,7 +58,7 @@ _LIVE_CTES = f"""
     """
 
 
-def _live(spark: SparkSession, sf: str) -> dict:
+def live_tables(spark: SparkSession, sf: str) -> dict:
     cfg = _config(spark, "live")
     ev = load_table(spark, sf, "events")
     cust = load_table(spark, sf, "customer")
@@ -69,20 +69,24 @@ def _live(spark: SparkSession, sf: str) -> dict:
     return run_live(spark, cfg, multi_line=False, on_fail="report")
 
 
-@query("live_end_to_end", sql=_LIVE_CTES + QUEUE_TAIL)
+QUEUE_SQL = _LIVE_CTES + QUEUE_TAIL
+HEALTH_SQL = _LIVE_CTES.rstrip().rstrip(",") + f"\n    select {HEALTH_SELECT} from h"
+
+
+@query("live_end_to_end", sql=QUEUE_SQL)
 def q_live_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """G1: snapshots landed as JSON -> two bronze streams -> silver current state
     (keyed upsert) -> health -> tests -> rebalancing queue -> tests."""
-    return spark.table(_live(spark, sf)["queue"])
+    return spark.table(live_tables(spark, sf)["queue"])
 
 
-@query("live_health", sql=_LIVE_CTES.rstrip().rstrip(",") + f"\n    select {HEALTH_SELECT} from h")
+@query("live_health", sql=HEALTH_SQL)
 def q_live_health(spark: SparkSession, sf: str) -> DataFrame:
     """G1: the health table that the live flow publishes, for all stations."""
-    return spark.table(_live(spark, sf)["health"]).drop("_silver_updated_at")
+    return spark.table(live_tables(spark, sf)["health"]).drop("_silver_updated_at")
 
 
-@query("live_second_run", sql=_LIVE_CTES.rstrip().rstrip(",") + f"\n    select {HEALTH_SELECT} from h")
+@query("live_second_run", sql=HEALTH_SQL)
 def q_live_second_run(spark: SparkSession, sf: str) -> DataFrame:
     """G1 ST5: the live flow run twice, the second time with the documents after the cut: it
     reads the new files and the changed stations only and gives the rows of a full build."""
@@ -107,11 +111,16 @@ def _side(spec: dict, count_as: str) -> str:
     return SIDE_SQL.format(rows=SILVER_TRIPS_SQL, count_as=count_as, **spec)
 
 
-@query("history_end_to_end", sql=flow_sql(SEED_SQL, _side(TRIP_DEPARTURES, "departures"),
-                                          _side(TRIP_ARRIVALS, "arrivals")))
-def q_history_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
-    """Trip CSVs -> bronze stream -> silver cleaning stream -> demand + monthly
-    flow (mapping seed CSV, ids normalised) -> tests; returns the published flow."""
+FLOW_SQL = flow_sql(SEED_SQL, _side(TRIP_DEPARTURES, "departures"), _side(TRIP_ARRIVALS, "arrivals"))
+DEMAND_SQL = f"""
+    select cast(started_at as date) as ride_date, cast(year(started_at) as integer) as ride_year,
+           cast(month(started_at) as integer) as ride_month, dayname(started_at) as day_of_week,
+           cast(hour(started_at) as integer) as ride_hour, member_casual, rideable_type, count(*) as total_trips,
+           cast(round(cast(avg(ride_duration_minutes) as decimal(28,10)), 2) as double) as avg_ride_duration_minutes
+    from ({SILVER_TRIPS_SQL}) group by all"""
+
+
+def history_tables(spark: SparkSession, sf: str) -> dict:
     cfg = _config(spark, "hist")
     _land_trips(spark, sf, cfg.landing("trips"))
     n = load_table(spark, sf, "nation")
@@ -120,9 +129,20 @@ def q_history_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.col("n_nationkey").cast("string"), F.lit(".10")).alias("station_id"),
         F.lower("r_name").alias("canonical_station_key"), F.col("r_name").alias("canonical_station_name"))
     seed_path = cfg.landing("seeds/station_mapping")
-    seed.coalesce(1).write.options(**CSV_EXACT).csv(seed_path)
+    seed.write.options(**CSV_EXACT).csv(seed_path)
     mapping = load_dim(spark, seed_path, "station_id string, canonical_station_key string, "
                                          "canonical_station_name string")
-    names = run_history(spark, cfg, mapping)
-    return spark.table(names["flow"])
+    return run_history(spark, cfg, mapping)
+
+
+@query("history_end_to_end", sql=FLOW_SQL)
+def q_history_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """Trip CSVs -> bronze batches -> silver cleaning stream -> demand + monthly
+    flow (mapping seed CSV, ids normalised) -> tests; returns the published flow."""
+    return spark.table(history_tables(spark, sf)["flow"])
+
 
+@query("history_demand", sql=DEMAND_SQL)
+def q_history_demand(spark: SparkSession, sf: str) -> DataFrame:
+    """The demand cube that the historical flow publishes."""
+    return spark.table(history_tables(spark, sf)["demand"])

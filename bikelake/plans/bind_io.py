@@ -86,11 +86,12 @@ def q_upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
            cast(day(ts) as integer) as day
     from events""")
 def q_land_partitioned(spark: SparkSession, sf: str) -> DataFrame:
-    """K5: land events as JSON under year=/month=/day= (UTC) and read them back
-    with typed partition columns."""
+    """K5: land events as JSON under year=/month=/day= (UTC), twice under one snapshot name (the
+    second run replaces the first), and read them back with typed partition columns."""
     path = scratch_path(spark, "landing")
     ev = load_table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
-    land_snapshots(ev, path, "ts", grain="day")
+    for _ in range(2):
+        land_snapshots(ev, path, "ts", grain="day", snapshot="events-1")
     schema = StructType([StructField("event_id", LongType()),
                          StructField("ts", TimestampType()),
                          StructField("user_id", LongType()), StructField("event_type", StringType())])
@@ -204,6 +205,22 @@ def q_trips_csv_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out/rows").select(*TRIP_COLUMNS, "year", "month", "_rescued_data")
 
 
+@query("ingest_lineage", sql="""
+    select 'year=' || strftime(ts, '%Y') || '/month=' || strftime(ts, '%m') as folder, count(*) as trips,
+           cast(0 as bigint) as unaudited, cast(1 as bigint) as audit_times
+    from events group by 1""")
+def q_ingest_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """Where the rows of bronze come from (``_source_file``), and that each has the audit
+    time of its batch."""
+    base = scratch_path(spark, "lineage")
+    _land_trips(spark, sf, f"{base}/in")
+    ingest_csv(spark, f"{base}/in", TRIP_COLUMNS, TRIP_PARTITIONS, f"{base}/out", f"{base}/ckpt")
+    rows = spark.read.parquet(f"{base}/out/rows")
+    return rows.groupBy(F.regexp_extract("_source_file", r"(year=\d+/month=\d+)/[^/]+$", 1).alias("folder")).agg(
+        F.count(F.lit(1)).alias("trips"), F.count_if(F.col("_ingested_at").isNull()).alias("unaudited"),
+        F.count_distinct("_ingested_at").alias("audit_times"))
+
+
 _FAULTY_SQL = """
     with e as (
       select event_id, user_id, ts, event_id // 256 as blk,

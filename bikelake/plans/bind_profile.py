@@ -20,16 +20,11 @@ SNAPSHOT_CUT = "2024-01-15 00:00:00"
 
 
 @query("join_coverage", sql="""
-    with l as (select o_orderkey, count(*) as n from orders group by o_orderkey),
-         r as (select l_orderkey as o_orderkey, count(*) as n, count_if(l_linestatus is null) as nn
-               from lineitem group by l_orderkey),
-         j as (select l.n as ln, r.n as rn, r.nn as rnn from l full outer join r on l.o_orderkey = r.o_orderkey)
-    select cast(coalesce(sum(ln), 0) as bigint) as left_rows,
-           cast(coalesce(sum(rn), 0) as bigint) as right_rows,
-           cast(coalesce(sum(case when ln is not null then ln * coalesce(rn, 1) end), 0) as bigint) as joined_rows,
-           cast(coalesce(sum(case when ln is not null and rn is null then ln
-                                  when ln is not null then ln * rnn end), 0) as bigint) as missing_after_join,
-           cast(coalesce(sum(case when ln is not null and rn is null then ln end), 0) as bigint) as unmatched_left_rows
+    with j as (select o.o_orderkey, l.l_orderkey, l.l_linestatus
+               from orders o left join lineitem l on l.l_orderkey = o.o_orderkey)
+    select (select count(*) from orders) as left_rows, (select count(*) from lineitem) as right_rows,
+           count(*) as joined_rows, cast(count_if(l_linestatus is null) as bigint) as missing_after_join,
+           cast(count_if(l_orderkey is null) as bigint) as unmatched_left_rows
     from j""")
 def q_join_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Orders (status side) LEFT JOIN lineitem (information side): rows per side,
@@ -152,40 +147,3 @@ def q_dq_checks(spark: SparkSession, sf: str) -> DataFrame:
     ev = run_checks(load_table(spark, sf, "events"), EVENT_CHECKS, "events")
     li = run_checks(load_table(spark, sf, "lineitem"), LINEITEM_CHECKS, "lineitem")
     return ev.unionByName(li)
-
-
-EVENT_TYPES = ["view", "signup", "error", "click", "purchase"]
-
-
-def suite_checks() -> dict[str, list[Check]]:
-    """The declared gold tests, with the demand segments bound to ``event_type``."""
-    demand = [c for c in GOLD_TESTS["hourly_trip_demand"]
-              if c.column not in ("member_casual", "rideable_type")]
-    demand += [not_null("event_type"), accepted("event_type", EVENT_TYPES)]
-    return {
-        "hourly_trip_demand": demand,
-        "station_monthly_flow": GOLD_TESTS["station_monthly_flow"],
-        "station_live_health": GOLD_TESTS["station_live_health"],
-        "station_rebalancing_priority": GOLD_TESTS["station_rebalancing_priority"],
-    }
-
-
-_SUITE_SOURCES = {
-    "hourly_trip_demand": "hourly_demand",
-    "station_monthly_flow": "monthly_flow",
-    "station_live_health": "station_health",
-    "station_rebalancing_priority": "rebalancing_queue",
-}
-
-
-@query("dq_suite", sql="\nunion all\n".join(
-    checks_sql(ORACLE_SQL[q], suite_checks()[m], m) for m, q in _SUITE_SOURCES.items()))
-def q_dq_suite(spark: SparkSession, sf: str) -> DataFrame:
-    """The declared tests of the four gold models, one report."""
-    from bikelake.plans.catalog import QUERIES
-    out = None  # QUERIES holds the gold bindings: this module imports bind_gold
-    for model, q in _SUITE_SOURCES.items():
-        rep = run_checks(QUERIES[q](spark, sf), suite_checks()[model], model)
-        out = rep if out is None else out.unionByName(rep)
-    return out
-

@@ -30,5 +30,5 @@ def query(name: str, sql: str | None = None):
 def registry() -> tuple[dict, dict]:
     """Import every binding module (each registers its queries) and return
     ``(QUERIES, ORACLE_SQL)``."""
-    from bikelake.plans import bind_flows, bind_gold, bind_io, bind_profile, bind_silver  # noqa: F401
+    from bikelake.plans import bind_flows, bind_gold, bind_io, bind_profile, bind_silver, bind_suite  # noqa: F401
     return QUERIES, ORACLE_SQL

@@ -6,7 +6,8 @@ live:     station_information + station_status snapshots (JSON)
           -> silver.stations (latest info LEFT JOIN latest status of the changed stations)
           -> gold.station_live_health -> tests -> gold.station_rebalancing_priority -> tests
 history:  trip CSVs (year=/month=) -> bronze.trips (incremental) -> silver.trips
-          (incremental cleaning) -> gold.hourly_trip_demand, gold.station_monthly_flow -> tests
+          (incremental cleaning) -> gold.hourly_trip_demand, monthly state of the touched months
+          -> gold.station_monthly_flow -> tests
 
 Each step reads only tables written by the previous one; a failing data test
 stops the flow before anything downstream is published (D5).
@@ -22,7 +23,7 @@ from bikelake.operators.joins import current_state
 from bikelake.operators.quality import gate, run_checks
 from bikelake.operators.silver import latest_information, latest_status
 from bikelake.operators.stations import rebalancing_queue, station_health
-from bikelake.operators.trips import hourly_demand, monthly_flow
+from bikelake.operators.trips import flow_of, flow_state, hourly_demand
 from bikelake.plans.gold_tests import GOLD_TESTS
 from bikelake.sinks.tables import (FROM_PROP, merge_buckets, rows_of_keys, switch, switch_buckets, table_props,
                                    upsert, write_version)
@@ -39,12 +40,13 @@ TRIP_ARRIVALS = dict(ts="ended_at", id="end_station_id", name="end_station_name"
                      lat="end_lat", lng="end_lng")
 
 
-def _published_and_tested(df: DataFrame, cfg: Config, model: str, tests, on_fail: str) -> str:
+def _published_and_tested(df: DataFrame, cfg: Config, model: str, tests, on_fail: str,
+                          props: dict | None = None) -> str:
     """Write the next version, test it, and only then let readers see it."""
     name, spark = cfg.table("gold", model), df.sparkSession
     v, path = write_version(df, name, cfg.root)
     gate(run_checks(spark.read.parquet(path), tests, model), on_fail=on_fail)
-    switch(spark, name, v, path)
+    switch(spark, name, v, path, props=props)
     return name
 
 
@@ -120,6 +122,27 @@ def trip_schema():
     return all_strings(TRIP_COLUMNS, {"year": IntegerType(), "month": IntegerType()})
 
 
+def _advance_months(spark: SparkSession, cfg: Config, trips: DataFrame, flow_table: str, state: str) -> int:
+    """Bring the monthly state up to the last bronze batch; returns that batch.
+
+    The state lies by the trip files' month.  Months that new batches bring rows of are built
+    again from their part of silver and replaced; the other months' trips are not read.
+    """
+    path = cfg.data("bronze", "trips")
+    last = max(batch_ids(spark, path), default=-1)
+    after = int(table_props(spark, flow_table).get(FROM_PROP + "trips", -1))
+    if last > after:
+        months = (spark.read.parquet(f"{path}/rows").filter(F.col("batch") > after)
+                  .select("year", "month").distinct().collect())       # one row per month
+        touched = F.lit(False)
+        for m in months:
+            touched = touched | (F.col("year").eqNullSafe(m.year) & F.col("month").eqNullSafe(m.month))
+        rows = trips.filter(touched)
+        (flow_state(rows, rows, TRIP_DEPARTURES, TRIP_ARRIVALS, keys=["year", "month"])
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(state))
+    return last
+
+
 def run_history(spark: SparkSession, cfg: Config, mapping: DataFrame | None,
                 on_fail: str = "raise", demand_tests=None) -> dict:
     """Historical flow; ``mapping`` is the canonical station dimension (``load_dim``)."""
@@ -132,8 +155,12 @@ def run_history(spark: SparkSession, cfg: Config, mapping: DataFrame | None,
     clean_trips_stream(spark, bronze, cfg.checkpoint("silver", "trips"),
                        path=cfg.data("silver", "trips"), table=silver, partition_by=("year", "month"))
     trips = spark.table(silver)
+    flow_table, state = cfg.table("gold", "station_monthly_flow"), cfg.data("gold", "_monthly_state")
+    last = _advance_months(spark, cfg, trips, flow_table, state)
     demand = _published_and_tested(hourly_demand(trips), cfg, "hourly_trip_demand",
                                    demand_tests or GOLD_TESTS["hourly_trip_demand"], on_fail)
-    flow = _published_and_tested(monthly_flow(trips, trips, mapping, TRIP_DEPARTURES, TRIP_ARRIVALS),
-                                 cfg, "station_monthly_flow", GOLD_TESTS["station_monthly_flow"], on_fail)
+    months = spark.read.parquet(state).drop("year", "month") if last >= 0 else flow_state(
+        trips, trips, TRIP_DEPARTURES, TRIP_ARRIVALS)
+    flow = _published_and_tested(flow_of(months, mapping), cfg, "station_monthly_flow",
+                                 GOLD_TESTS["station_monthly_flow"], on_fail, {FROM_PROP + "trips": str(last)})
     return {"bronze": bronze, "silver": silver, "demand": demand, "flow": flow}
