@@ -15,6 +15,8 @@ and the tops are merged.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,6 +28,10 @@ ROW_BLOCK = 2048      # rows that are gathered into one record
 INDEX_BLOCKS = 8      # records that share one index
 QUERY_BLOCK = 512     # queries that visit an index block together
 KEPT_BITS = 5         # bits of an attribute that are kept in slices
+WIDE = 1 << 61        # integers from here on leave the index's 64 bits
+MOST = (1 << 63) - 1
+_FOUND = [("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.int64()), ("beyond", pa.string())]
+_FOUND_DDL = "query_id long, id long, score long, beyond string"
 
 
 class BitSlicedIndex:
@@ -130,7 +136,7 @@ class BitSlicedIndex:
             slices = self._sum(query)
             # A row's true score lies in (approximate, approximate + error) * 2^drop, shifted alike
             # for all rows; a complement's dropped bits err the other way, within the same bound.
-            error = int(np.abs(query).sum())
+            error = sum(map(abs, query.tolist()))
             bound = self._kth(slices, among, k) - error
             among = among & self._at_least(slices, bound)
         rows = np.flatnonzero(np.unpackbits(among.view(np.uint8), bitorder="little")[:self.n])
@@ -149,16 +155,53 @@ def _products(values: np.ndarray, query: np.ndarray) -> np.ndarray:
     return values.astype(object) @ query.astype(object)
 
 
-def quantise(vectors: DataFrame, *, id_col: str, vector_col: str, scale: int = 256) -> DataFrame:
-    """``(id, width, x)``: floor(scale * component) as longs.  Vectors that are null, empty, or
-    hold null or non-finite components are left out, as are null ids and components beyond
-    2^52 / scale, whose floor a double no longer holds."""
+def quantise(vectors: DataFrame, *, id_col: str, vector_col: str, scale: int = 256) -> tuple[DataFrame, DataFrame]:
+    """Two tables: ``(id, width, x)``, floor(scale * component) as longs, and ``(id, width, v)``, the
+    vectors of which a component's floor is 2^61 or more, as they are.  Vectors that are null,
+    empty, or hold null or non-finite components are left out, as are null ids."""
     x = F.transform(F.col("v"), lambda c: F.floor(c * F.lit(float(scale))))
-    most = float(1 << 52) / scale
-    return (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    infinite, most = float("inf"), float(WIDE) / scale
+    rows = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
             .filter(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0))
-            .filter(F.forall("v", lambda c: F.coalesce(c.isNotNull() & ~F.isnan(c) & (F.abs(c) < most), F.lit(False))))
-            .select("id", F.size("v").alias("width"), x.alias("x")))
+            .filter(F.forall("v", lambda c: F.coalesce(c.isNotNull() & ~F.isnan(c) & (F.abs(c) < infinite), F.lit(False))))
+            .withColumn("wide", F.exists("v", lambda c: F.abs(c) >= most)))
+    return (rows.filter("NOT wide").select("id", F.size("v").alias("width"), x.alias("x")),
+            rows.filter("wide").select("id", F.size("v").alias("width"), "v"))
+
+
+def _integers(values: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * v) of doubles as Python integers; ``scale`` is a power of two."""
+    return np.array([int(v) * scale if abs(v) >= 2.0 ** 53 else math.floor(v * scale) for v in values.ravel().tolist()],
+                    dtype=object).reshape(values.shape)
+
+
+def _shown(score: int) -> tuple[int, str]:
+    """A score as a long, and what orders scores that a long cannot hold among each other."""
+    if -MOST <= score <= MOST:
+        return score, "" if score >= 0 else "~"
+    digits = str(abs(score))
+    key = f"{len(digits):06d}{digits}"
+    return (MOST, key) if score > 0 else (-MOST, key.translate(str.maketrans("0123456789", "9876543210")))
+
+
+def _wide_search(rows: DataFrame, asked: DataFrame, k: int, scale: int) -> DataFrame:
+    """Top k of every query among ``rows`` where at least one side is wide: ``(id, width, v)`` as
+    doubles, scored by exact integers, a batch of joined pairs at a time."""
+    schema = pa.schema(_FOUND)
+
+    def score(batches):
+        for batch in batches:
+            best: dict[int, list] = {}
+            a, b = (_integers(np.stack([np.asarray(v, float) for v in batch.column(f).to_pylist()]), scale) for f in ("v", "qv")) \
+                if batch.num_rows else (None, None)
+            for j, (q, i) in enumerate(zip(batch.column("query_id").to_pylist(), batch.column("id").to_pylist())):
+                best.setdefault(q, []).append((-int(sum(x * y for x, y in zip(a[j], b[j]))), i))
+            out = [(q, i, *_shown(-s)) for q, found in best.items() for s, i in sorted(found)[:k]]
+            if out:
+                yield batch_of(schema, list(zip(*out)))
+
+    q = asked.select("width", F.col("id").alias("query_id"), F.col("v").alias("qv"))
+    return rows.join(q, "width").filter("id <> query_id").select("query_id", "id", "v", "qv").mapInArrow(score, _FOUND_DDL)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -191,21 +234,26 @@ def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int =
     products, other rows than its own id; ties to the smaller id; fewer where there are fewer.
 
     Rows of another length than the query's are no candidates.  Repeated ids are candidates
-    one by one, and a query id that repeats is ranked once over what its rows find.  Scores beyond a long saturate (they are compared exactly within a block).
-    Empty tables give no row.
+    one by one, and a query id that repeats is ranked once over what its rows find.  A score
+    beyond a long is shown as the largest or smallest one; ranks follow the exact score.  Vectors
+    whose integers leave 64 bits are scored apart, by Python integers.  Empty tables give no row.
     """
-    rows, _ = _blocks(quantise(vectors, id_col=id_col, vector_col=vector_col, scale=scale), row_block, "bsi-rows", spark)
-    asked, _ = _blocks(quantise(queries, id_col=id_col, vector_col=vector_col, scale=scale), query_block, "bsi-queries", spark)
-    schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.int64())])
-    most = (1 << 63) - 1
+    narrow, wide = quantise(vectors, id_col=id_col, vector_col=vector_col, scale=scale)
+    narrow_q, wide_q = quantise(queries, id_col=id_col, vector_col=vector_col, scale=scale)
+    rows, _ = _blocks(narrow, row_block, "bsi-rows", spark)
+    asked, _ = _blocks(narrow_q, query_block, "bsi-queries", spark)
+    wide, wide_q = written(spark, wide, "bsi-wide"), written(spark, wide_q, "bsi-wide-queries")
+    schema = pa.schema(_FOUND)
 
     def answer(index, q_ids, q_vals, width):
-        found = ([], [], [])
+        found = ([], [], [], [])
         for q, x in zip(q_ids.tolist(), q_vals.reshape(len(q_ids), width)):
             ids, scores = index.top(x, k, but=q)
             found[0].extend([q] * len(ids))
             found[1].extend(ids.tolist())
-            found[2].extend(max(-most, min(most, s)) for s in scores)
+            shown = [_shown(s) for s in scores]
+            found[2].extend(s for s, _ in shown)
+            found[3].extend(b for _, b in shown)
         return batch_of(schema, found)
 
     def search(batches):
@@ -237,7 +285,13 @@ def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int =
     rows = rows.withColumn("index", F.expr(f"block div {INDEX_BLOCKS}"))
     pairs = (rows.join(q, "width").select("width", "index", "q_block", "block", "ids", "vals", "q_ids", "q_vals")
              .repartition("width", "index").sortWithinPartitions("width", "index", "q_block", "block"))
-    found = pairs.mapInArrow(search, "query_id long, id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    found = pairs.mapInArrow(search, _FOUND_DDL)
+    if not (wide.isEmpty() and wide_q.isEmpty()):
+        def plain(x):
+            return x.select("id", "width", F.transform("x", lambda c: c / F.lit(float(scale))).alias("v"))
+
+        found = (found.union(_wide_search(wide, plain(narrow_q).union(wide_q), k, scale))
+                 .union(_wide_search(plain(narrow), wide_q, k, scale)))
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "id")
     return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "id", "score"))
