@@ -21,7 +21,6 @@ from pyspark.sql.functions import pandas_udf
 BITS = 14
 FEATURES = 1 << BITS
 PER_LANGUAGE = 600       # bound of the training sample, in documents of each language
-MAX_LANGUAGES = 400      # bound of the languages a model may know
 CENTROIDS = 3
 QUANTILE = 0.02          # share of members and excerpts that may lie beyond the radius before its slack
 SLACK = 0.75             # a text is rejected below this share of that quantile
@@ -165,12 +164,11 @@ def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS, rounds: int = 8
     return Model(model.idf, np.concatenate(found).astype(np.float32), langs, np.concatenate(least))
 
 
-def bounded_rows(docs: DataFrame, label: str, id_col: str, text_col: str, per_label: int,
-                 max_labels: int) -> list[tuple[str, str]]:
+def bounded_rows(docs: DataFrame, label: str, id_col: str, text_col: str, per_label: int) -> list[tuple[str, str]]:
     """About ``per_label`` rows (label, text) of every label, chosen by a hash of the id and
     therefore the same in every run; at most twice that many are read to the driver."""
     known = docs.filter(F.col(label).isNotNull() & F.col(text_col).isNotNull())
-    sizes = known.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_labels).collect()
+    sizes = known.groupBy(label).count().orderBy(label).collect()    # one row per label
     if not sizes:
         return []
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r[0], min(1.0, per_label / r[1]))])
@@ -183,8 +181,9 @@ def bounded_rows(docs: DataFrame, label: str, id_col: str, text_col: str, per_la
 
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> Model:
-    """Fit on a bounded sample of the labelled rows of ``docs``."""
-    return fit(bounded_rows(docs, lang_col, id_col, text_col, per_language, MAX_LANGUAGES), centroids)
+    """Fit on a bounded sample of the labelled rows of every language of ``docs``; the model
+    grows with the number of languages, by some 200 kB each."""
+    return fit(bounded_rows(docs, lang_col, id_col, text_col, per_language), centroids)
 
 
 def classifier(model: Model):
