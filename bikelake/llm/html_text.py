@@ -1,7 +1,7 @@
 """Main text of web pages by a maximum-scoring subsequence.
 
 A page is a sequence of words and tags.  A word scores +1 less the weight of the tags it
-stands under, a tag scores a small cost more of its weight; one linear scan finds the
+stands under, a tag costs a little and, unless it is inline, its weight; one linear scan finds the
 contiguous region with the largest sum.  The weights come from labelled pages: pages that
 mark their article themselves (one ``article`` or ``main`` element).  The weight of a tag is
 twice the share of its words that lie outside the marked article, so words under a tag that
@@ -38,6 +38,9 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LABELS = ("article", "main")
+#: Elements of NEVER that some pages put around or into their article.  They stay out like a named
+#: container does: unless they hold most of the page's words, or, for a header, lie in an article.
+USUAL = frozenset("form fieldset dialog header button".split())
 #: Names (class, id or role) of a container that is no part of an article.
 NAMES = ("ads?|adverts?|advertisements?|sponsored|promo|banner|sidebar|menu|nav|navbar|navigation|breadcrumbs?|"
          "footer|comments?|cookies?|notices?|popup|modal|newsletter|subscribe|share|social|related|widget|"
@@ -112,10 +115,12 @@ def events(page: str):
             # a block element ends an open paragraph
             k = max(i for i, s in enumerate(stack) if s[0] == "p")
             del stack[k:]
-        number = pos if named and name not in NEVER else None
+        titled = name == "header" and not named and any(s[0] in LABELS for s in stack)
+        never = (named or name in NEVER) and not titled
+        number = pos if never and (name not in NEVER or name in USUAL) else None
         yield "open", key, stack, number, name
         if name not in VOID and not m[3].rstrip().endswith("/"):
-            stack.append((name, key, named or name in NEVER, number))
+            stack.append((name, "" if titled else key, never, number))
             if name in RAW:
                 raw_until = name
     if at < len(page) and not raw_until:
@@ -139,33 +144,55 @@ def learn_weights(pages) -> dict[str, float]:
     return {k: 2.0 * (1 - inside[k] / v) for k, v in total.items() if v}
 
 
+def _along(step):
+    """Function of the open elements that carries ``step(value above, element)`` down to the
+    innermost one.  Elements open and close at the end only, so each is visited once."""
+    held: list[tuple] = []
+
+    def value(stack):
+        while held and (len(held) > len(stack) or held[-1][0] is not stack[len(held) - 1]):
+            held.pop()
+        for entry in stack[len(held):]:
+            held.append((entry, step(held[-1][1] if held else None, entry)))
+        return held[-1][1] if held else None
+
+    return value
+
+
 def extract(page: str | None, weights: dict[str, float] | None = None) -> str:
     """Main text of a page; an empty string for none.  Null counts as an empty page."""
     if not page:
         return ""
     known = {**PRIOR, **(weights or {})}
     weight = lambda key: known[key] if key in known else known.get(key.split(".")[0], 0.0)
-    read = [(kind, key, tuple(stack), number, text) for kind, key, stack, number, text in events(page)]
     total, held_by = 0, Counter()
-    for kind, _, stack, _, text in read if any(r[3] is not None for r in read) else ():
-        if kind == "text" and not any(s[2] and s[3] is None for s in stack):
-            n = len(text.split())
-            total += n
-            held_by.update({s[3]: n for s in stack if s[3] is not None})
+    inside = _along(lambda above, s: (above or (False, ())) if s[3] is None and not s[2] else
+                    ((above or (False, ()))[0] or s[3] is None, (s[3], (above or (False, ()))[1])))
+    for kind, _, stack, _, text in events(page):
+        if kind == "text":
+            raw, numbers = inside(stack) or (False, ())
+            if not raw:
+                n = len(text.split())
+                total += n
+                while numbers:
+                    held_by[numbers[0]] += n
+                    numbers = numbers[1]
     most = {number for number, n in held_by.items() if 2 * n > total}
-    left_out = lambda stack: any(s[2] and s[3] not in most for s in stack)
+    # (weight, left out) of the open elements together: a form or header that is kept is a plain container
+    under = _along(lambda above, s: (max(above[0] if above else 0.0, 0.0 if s[0] in USUAL and s[3] in most else weight(s[1])),
+                                     bool(above and above[1]) or s[2] and s[3] not in most))
     steps: list[tuple[float, str, bool]] = []  # score, text (None for a block break), left out
-    for kind, key, stack, number, text in read:
+    for kind, key, stack, number, text in events(page):
+        worst, out = under(stack) or (0.0, False)
         if kind == "text":
-            words = len(text.split())
-            out = left_out(stack)
             # what is left out anyway must not split the article around it
-            worst = max((weight(s[1]) for s in stack), default=0.0)
-            steps.append((0.0 if out else words * (1.0 - worst), text, out))
+            steps.append((0.0 if out else len(text.split()) * (1.0 - worst), text, out))
         else:
             name = text if kind == "open" else key
-            out = name in NEVER or (number is not None and number not in most) or left_out(stack)
-            steps.append((-TAG_COST if out else -TAG_COST - weight(key), None if name not in INLINE | RAW else "", False))
+            out = out or name in NEVER or (number is not None and number not in most)
+            # a link or an accent is no border: its words carry its weight, its tags the small cost
+            cost = TAG_COST if out or name in INLINE else TAG_COST + weight(key)
+            steps.append((-cost, None if name not in INLINE | RAW else "", False))
     best, best_range, run, start = 0.0, (0, 0), 0.0, 0
     for k, (score, _, _) in enumerate(steps):
         if run <= 0:
