@@ -15,7 +15,8 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bikelake.llm.common import batch_of, written
@@ -89,12 +90,22 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[li
                 take(i, k)  # the bin itself, and fuller ones before it, are no donors
             while fill[k] < capacity and mask:
                 gap = capacity - fill[k]
-                mine = sorted({lengths[i]: i for i in work[k]}.items())
-                outs = [(0, ())] + [(n, (i,)) for n, i in mine]
-                outs += [(lengths[i] + lengths[j], (i, j)) for x, i in enumerate(work[k])
-                         for j in work[k][x + 1:]] if len(work[k]) <= 24 else []
+                mine: dict[int, list[int]] = {}
+                for i in work[k]:
+                    mine.setdefault(lengths[i], []).append(i)
+                # pieces of one length are alike, so pairs are indexed by their lengths: a bin has
+                # few different ones (44 at most in 1024 tokens), however many pieces it holds
+                outs = {0: ()}
+                kinds = sorted(mine.items())
+                for x, (n, some) in enumerate(kinds):
+                    if len(some) > 1:
+                        outs.setdefault(2 * n, (some[0], some[1]))
+                    for m, others in kinds[x + 1:]:
+                        outs.setdefault(n + m, (some[0], others[0]))
+                for n, some in kinds:
+                    outs[n] = (some[0],)
                 best = None
-                for n, out in outs:
+                for n, out in outs.items():
                     if n >= capacity:
                         continue
                     window = (mask >> (n + 1)) & ((1 << gap) - 1)  # lengths n+1 .. n+gap
@@ -128,7 +139,7 @@ def pack_lengths(lengths: list[int], capacity: int = SEQUENCE_TOKENS) -> list[li
 
 
 def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
-           capacity: int = SEQUENCE_TOKENS, vocabulary: str | None = None) -> DataFrame:
+           capacity: int = SEQUENCE_TOKENS, vocabulary: str | None = None, row=None) -> DataFrame:
     """Cut the ids of every whole text (null: empty) plus ``end_id`` into pieces:
     ``(doc_id, row, piece, start, length, ids_crc32)``; ``row`` tells apart rows that repeat a
     doc_id.  No shuffle: the texts are encoded where they are read."""
@@ -152,11 +163,23 @@ def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", e
             yield batch_of(schema, out)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.monotonically_increasing_id().alias("row"),
+                       (F.monotonically_increasing_id() if row is None else row).alias("row"),
                        F.col(text_col).alias("text")).mapInArrow(
         cut, "doc_id long, row long, piece int, start long, length long, ids_crc32 long")
 
 
+def _written_rows(docs: DataFrame, group_rows: int) -> DataFrame:
+    """``docs`` with ``__row``: the place of a row in the order in which the files of ``docs`` were
+    written (by file name, then row of the file), as group number << 12 | place in its group of
+    ``group_rows`` (4096 at most) rows of one file.  A scan itself reads files by size."""
+    place = docs.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    files = place.groupBy("__file").agg(F.expr(f"max(__at) div {group_rows} + 1").alias("n"))
+    # one row per file
+    files = files.select("__file", (F.sum("n").over(Window.orderBy("__file")) - F.col("n")).alias("__first"))
+    row = F.expr(f"shiftleft(__first + __at div {group_rows}, 12) | (__at % {group_rows})")
+    return place.join(files, "__file").withColumn("__row", row)
+
+
 def pack(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
          end_id: int = 2, capacity: int = SEQUENCE_TOKENS, group_pieces: int = GROUP_PIECES,
          vocabulary: str | None = None, in_order: bool = False) -> DataFrame:
@@ -164,17 +187,27 @@ def pack(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_c
 
     A null text is empty and gives the end id alone; repeated rows are packed one by one; a
     null doc_id stays null; an empty table gives no row.  The texts are encoded once and only
-    the pieces' lengths are shuffled.  With ``in_order`` the groups are runs of rows as they
-    are read, so sequences hold documents that stand near each other in the input.
+    the pieces' lengths are shuffled.  With ``in_order`` the groups
+    are runs of rows in the order in which the files were written: a sequence holds documents
+    that stand near each other, and sequence ids ascend with the groups.
     """
+    if in_order:
+        try:
+            docs.select("_metadata.file_name")
+        except AnalysisException:             # rows that lie in no files yet get their order by lying in some
+            docs = written(spark, docs.select(id_col, text_col), "in-order")
+        docs = _written_rows(docs.select(id_col, text_col), min(group_pieces, 4096))
     cut = written(spark, pieces(docs, id_col=id_col, text_col=text_col, end_id=end_id, capacity=capacity,
-                                vocabulary=vocabulary), "pieces")
+                                vocabulary=vocabulary, row=F.col("__row") if in_order else None), "pieces")
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
     short = cut.filter(F.col("length") < capacity)
     groups = 1 if in_order else max(1, -(-short.count() // group_pieces))
-    # Whole sequences get even ids, packed ones odd ids from the group.
+    # Whole sequences get even ids, packed ones odd ids from the group; in order, both ascend
+    # with the group: its number, then 32 bits for the row and piece or the bin, then the kind.
+    alone = F.monotonically_increasing_id() if not in_order else F.shiftleft("row", 20) + F.col("piece")
+    bits = 32 if in_order else 24
     whole = cut.filter(F.col("length") >= capacity).select(
-        *cols, (F.monotonically_increasing_id() * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+        *cols, (alone * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     out = ("doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
     def place(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
@@ -184,12 +217,12 @@ def pack(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_c
         for b, members in enumerate(pack_lengths(lengths, capacity)):
             at = 0
             for i in members:
-                sequence[i], offset[i] = ((key[0].as_py() << 24) + b) * 2 + 1, at
+                sequence[i], offset[i] = ((key[0].as_py() << bits) + b) * 2 + 1, at
                 at += lengths[i]
         return rows.select(cols).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    if in_order:  # row: number of the read partition in the high bits, place in it in the low 33
-        group = F.expr(f"shiftright(row, 33) * 4096 + (row & {(1 << 33) - 1}) div {group_pieces}")
+    if in_order:
+        group = F.shiftright("row", 12)
     else:
         group = F.pmod(F.xxhash64("row", "piece"), F.lit(groups)).cast("long")
     packed = (short.withColumn("g", group)

@@ -55,3 +55,40 @@ def test_pipeline_stages_against_brute_force(spark):
     assert len(set(first)) >= min(8, len({r.source for r in mixed}))   # sources interleave from the start
     packed = P.STAGES[-1][1](spark, docs, SF).collect()
     _text.check_packing(packed, [(r.doc_id, r.text) for r in mixed])
+
+
+def test_mixed_order_reaches_the_sequences(spark):
+    """The stage's files are read by size; the packed groups still follow the schedule."""
+    from collections import defaultdict
+
+    from bikelake.llm import mixing, packing
+    from bikelake.llm.common import ship_package, written
+    ship_package(spark)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    place = {r.doc_id: r.position for r in mixing.schedule(spark, docs).collect()}
+    mixed = written(spark, mixing.mix(spark, docs), "mixed")
+    groups = defaultdict(list)
+    for r in packing.pack(spark, mixed, in_order=True, group_pieces=16).collect():
+        groups[r.sequence_id >> 33].append(place[r.doc_id])
+    order = [groups[g] for g in sorted(groups)]
+    assert len(order) > 5 and all(max(a) < min(b) for a, b in zip(order, order[1:]))
+
+
+@pytest.mark.parametrize("rows", [
+    [],
+    [(None, None, None, None, None), (None, "", "en", None, 0), (7, "Words of a null source. " * 30, None, None, 9)],
+    [(k % 3, "The very same words again and again, as often as you like. " * 9, "en", "s", 0) for k in range(9)],
+])
+def test_pipeline_stages_on_odd_tables(spark, rows, tmp_path):
+    """Empty table; null ids, texts and sources; repeated rows: every stage gives rows of its input."""
+    import corpus_pipeline as P
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in P.STAGES[:-1]:
+        before = {tuple(r) for r in docs.collect()}
+        path = str(tmp_path / name)
+        stage(spark, docs, SF).write.parquet(path)
+        docs = spark.read.schema(schema).parquet(path)
+        assert {tuple(r) for r in docs.collect()} <= before, name
+    packed = P.STAGES[-1][1](spark, docs, SF).collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in docs.collect()}
