@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bikelake.llm.common import batch_of, written
+from bikelake.llm.common import batch_of, open_folder, shared_uri, written
 from bikelake.llm.tokens import default_vocabulary, encoder
 from bikelake.session import scratch_path
 
@@ -36,15 +36,6 @@ DOCUMENTS_MAGIC = 0x184D2A50
 SEEKABLE_MAGIC = 0x8F92EAB1
 
 
-def _filesystem(uri: str):
-    from pyarrow import fs
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:/") and not uri.startswith("file:///"):
-        uri = "file://" + uri[len("file:"):]
-    return fs.FileSystem.from_uri(uri)
-
-
 class ShardWriter:
     """Streams documents into one shard; holds at most one frame of ids, and the index."""
 
@@ -56,8 +47,9 @@ class ShardWriter:
         self.frames: list[tuple[int, int, int]] = []
         self.docs: list[tuple[int, int]] = []
 
-    def add(self, doc_id: int, ids: np.ndarray) -> None:
-        self.docs.append((doc_id, len(ids)))
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        # A null id is kept as a length below 0.
+        self.docs.append((0, -1 - len(ids)) if doc_id is None else (doc_id, len(ids)))
         self.held += ids.astype(self.dtype, copy=False).tobytes()
         while len(self.held) >= self.frame_bytes:
             self._frame(bytes(self.held[:self.frame_bytes]))
@@ -97,7 +89,9 @@ class ShardReader:
         width, length, docs = struct.unpack("<BIQ", self._at(end - 13, 13))
         raw = self.zstd.decompress(self._at(end - 13 - length, length)) if docs else b""
         self.dtype = np.dtype(f"<u{width}")
-        self.docs = np.frombuffer(raw, "<i8").reshape(-1, 2)
+        self.docs = np.frombuffer(raw, "<i8").reshape(-1, 2).copy()
+        self.nameless = self.docs[:, 1] < 0
+        self.docs[self.nameless, 1] = -1 - self.docs[self.nameless, 1]
         self.first = np.concatenate([[0], np.cumsum(self.docs[:, 1])]) * width
         self.last = (-1, b"")
 
@@ -132,13 +126,14 @@ def write_token_files(spark: SparkSession, docs: DataFrame, folder: str | None =
     """Encode whole texts, append ``end_id``, write shards in ascending id order.
 
     Returns the folder and the index ``(shard, file, doc_id, n_tokens)``, one row per
-    document.  A null text counts as empty (its document holds the end id alone); rows with a
-    null id are refused, since the order is by id; documents with the same id follow each
-    other, ordered by text.  An empty table gives no shard.  One range shuffle of the texts;
-    encoding happens after it, once.
+    document.  A null text counts as empty (its document holds the end id alone); documents with
+    a null id come first and keep the null; documents with the same id follow each other,
+    ordered by text.  An empty table gives no shard.  One range shuffle of the texts; encoding
+    happens after it, once.  The folder is one that all executors share, as Spark resolves it;
+    it is returned with its scheme.
     """
     vocabulary = vocabulary or default_vocabulary()
-    folder = (folder or scratch_path(spark, "token-files")).rstrip("/")
+    folder = shared_uri(spark, folder or scratch_path(spark, "token-files"))
     schema = pa.schema([("shard", pa.int32()), ("file", pa.string()), ("doc_id", pa.int64()),
                         ("n_tokens", pa.int64())])
 
@@ -149,10 +144,8 @@ def write_token_files(spark: SparkSession, docs: DataFrame, folder: str | None =
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if batch.column(0).null_count:
-                raise ValueError(f"{id_col} must not be null: files are ordered by it")
             if writer is None:
-                fs, root = _filesystem(folder)
+                fs, root = open_folder(folder)
                 fs.create_dir(root, recursive=True)
                 name = f"{root}/shard-{shard:06d}.tok.zst"
                 part = f"{name}.{uuid.uuid4().hex}.part"
@@ -165,9 +158,12 @@ def write_token_files(spark: SparkSession, docs: DataFrame, folder: str | None =
             out.close()
             fs.move(part, name)
             docs_, file = np.array(writer.docs, dtype=np.int64), name.rsplit("/", 1)[1]
+            nameless = docs_[:, 1] < 0
+            docs_[nameless, 1] = -1 - docs_[nameless, 1]
             for k in range(0, len(docs_), 50_000):
                 some = docs_[k:k + 50_000]
-                yield batch_of(schema, [[shard] * len(some), [file] * len(some), some[:, 0], some[:, 1]])
+                yield batch_of(schema, [[shard] * len(some), [file] * len(some),
+                                        pa.array(some[:, 0], mask=nameless[k:k + 50_000]), some[:, 1]])
 
     ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
@@ -184,11 +180,12 @@ def read_token_files(folder: str, index: DataFrame, requested: DataFrame | None
     out = "doc_id long, shard int, shard_start long, ids array<long>"
 
     def read(shard, name, some):
-        fs, root = _filesystem(folder)
+        fs, root = open_folder(folder)
         with fs.open_input_file(f"{root}/{name}") as f:
             r = ShardReader(f, f.size())
             rows, held = ([], [], [], []), 0
             for k, (doc, n) in enumerate(r.docs.tolist()):
+                doc = None if r.nameless[k] else doc
                 if some is None or doc in some:
                     for c, v in zip(rows, (doc, shard, int(r.first[k]) // r.dtype.itemsize, r.ids(k))):
                         c.append(v)
@@ -215,7 +212,12 @@ def read_token_files(folder: str, index: DataFrame, requested: DataFrame | None
 
 
 def _shards(index: DataFrame) -> DataFrame:
-    return index.groupBy("shard").agg(F.min("file").alias("file")).select("shard", "file")
+    return _dealt(index.groupBy("shard").agg(F.min("file").alias("file")).select("shard", "file"))
+
+
+def _dealt(shards: DataFrame) -> DataFrame:
+    """One row per shard, over a stated number of tasks: the rows are tiny, what they make a task read is not."""
+    return shards.repartition(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def token_digests(folder: str, index: DataFrame) -> DataFrame:
@@ -225,16 +227,16 @@ def token_digests(folder: str, index: DataFrame) -> DataFrame:
                         ("ids_crc32", pa.int64())])
 
     def digest(batches):
-        fs, root = _filesystem(folder)
+        fs, root = open_folder(folder)
         for batch in batches:
             for name, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with fs.open_input_file(f"{root}/{name}") as f:
                     r = ShardReader(f, f.size())
                     crc = [zlib.crc32(r.ids(k).astype("<u4").tobytes()) for k in range(len(r.docs))]
-                    yield batch_of(schema, [r.docs[:, 0], before + r.first[:-1] // r.dtype.itemsize, r.docs[:, 1], crc])
+                    yield batch_of(schema, [pa.array(r.docs[:, 0], mask=r.nameless), before + r.first[:-1] // r.dtype.itemsize, r.docs[:, 1], crc])
 
     # One row per shard: the running total over all shards is small at any input size.
     shards = index.groupBy("shard").agg(F.min("file").alias("file"), F.sum("n_tokens").alias("tokens"))
     before = F.sum("tokens").over(Window.orderBy("shard")) - F.col("tokens")
-    return (shards.select("shard", "file", before.alias("before")).repartition("shard").select("file", "before")
+    return (_dealt(shards.select("file", before.alias("before")))
             .mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long"))
