@@ -63,18 +63,25 @@ def _source_key(c: str):
     return F.coalesce(F.concat(F.lit("s"), F.col(c).cast("string")), F.lit("n"))
 
 
-#: One period by earliest deadline first.  q holds the quotas by source number; the state, how
-#: many blocks of each source are scheduled and the source of each slot so far.
+#: One period by earliest deadline first.  q holds the quotas by source number; the state is how
+#: many blocks of each source are scheduled and the source of each slot so far.  Every step copies
+#: its state, so the period is cut into stretches of about its square root: the slots of a stretch
+#: are gathered on their own, and only the counts go on into the next one.
 EDF = """
-aggregate(
-  sequence(0L, len - 1),
-  named_struct('done', transform(q, x -> 0L), 'slots', cast(array() as array<int>)),
-  (s, t) -> element_at(transform(
-    array(array_min(transform(q, (x, i) -> if(s.done[i] < x AND (s.done[i] * len) div x <= t,
-      named_struct('deadline', ((s.done[i] + 1) * len + x - 1) div x, 'i', i), null)))),
-    pick -> named_struct('done', transform(s.done, (d, i) -> if(i = pick.i, d + 1, d)),
-                         'slots', concat(s.slots, array(pick.i)))), 1),
-  s -> s.slots)
+flatten(aggregate(
+  sequence(0L, len - 1, cast(ceil(sqrt(len)) AS bigint)),
+  named_struct('done', transform(q, x -> 0L), 'stretches', cast(array() as array<array<int>>)),
+  (all, from) -> element_at(transform(
+    array(aggregate(
+      sequence(from, least(from + cast(ceil(sqrt(len)) AS bigint), len) - 1),
+      named_struct('done', all.done, 'slots', cast(array() as array<int>)),
+      (s, t) -> element_at(transform(
+        array(array_min(transform(q, (x, i) -> if(s.done[i] < x AND (s.done[i] * len) div x <= t,
+          named_struct('deadline', ((s.done[i] + 1) * len + x - 1) div x, 'i', i), null)))),
+        pick -> named_struct('done', transform(s.done, (d, i) -> if(i = pick.i, d + 1, d)),
+                             'slots', concat(s.slots, array(pick.i)))), 1))),
+    one -> named_struct('done', one.done, 'stretches', concat(all.stretches, array(one.slots)))), 1),
+  all -> all.stretches))
 """
 
 
