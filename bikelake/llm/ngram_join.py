@@ -405,6 +405,11 @@ def similarity_components(spark: SparkSession, docs: DataFrame, *, id_col: str =
     the component's number, but each is compared with its own text.  An empty table gives no
     row.
     """
+    return _components_by_row(spark, docs, id_col, text_col, words, percent).drop("node")
+
+
+def _components_by_row(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """``similarity_components`` with the hash of each row's set, ``node``."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     first = written(spark, src.mapInArrow(_documents_and_sketch(words),
                                           "doc_id long, n long, node long, block int, counts binary"), "join-sets")
@@ -522,14 +527,28 @@ def similarity_components(spark: SparkSession, docs: DataFrame, *, id_col: str =
     least_id = of_node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_node = of_node.join(least_id, "root").select("node", "component_id")
     return (found.join(of_node, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
+            .select("doc_id", "node", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+             words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` with one document of each component: the smallest id.  Rows with a
-    null id, which cannot be told apart, stay; of rows that repeat the kept id, all stay."""
-    parts = similarity_components(spark, docs, id_col=id_col, text_col=text_col)
-    dropped = written(spark, parts.groupBy("doc_id").agg(F.min("component_id").alias("c")).filter("doc_id <> c")
-                      .select(F.col("doc_id").alias("__gone")), "join-dropped")
-    return docs.join(dropped, F.col(id_col) == F.col("__gone"), "left_anti")
+    null id, which cannot be told apart, stay; of rows that repeat the kept id, all in its component
+    stay.  Where rows of one id hold several texts, each goes or stays by its own text."""
+    rows = written(spark, _components_by_row(spark, docs, id_col, text_col, words, percent)
+                   .select("doc_id", "node", (F.col("component_id") != F.col("doc_id")).alias("goes")), "join-rows")
+    ids = written(spark, rows.groupBy("doc_id").agg(F.bool_and("goes").alias("whole"), F.bool_or("goes").alias("some"))
+                  .filter("some").select(F.col("doc_id").alias("__gone"), "whole"), "join-dropped")
+    by_id = F.col(id_col) == F.col("__gone")
+    kept = docs.join(ids.filter("whole"), by_id, "left_anti")
+    parted = ids.filter("NOT whole")
+    if not parted.take(1):
+        return kept
+    # Ids with several texts of which some go: the texts of these rows alone are hashed again.
+    node = F.pandas_udf(lambda texts: texts.map(lambda t: set_hash(shingle_set(t or b"", words))), "long")
+    gone = (rows.filter("goes").join(parted, F.col("doc_id") == F.col("__gone"), "left_semi")
+            .select(F.col("doc_id").alias("__gone"), F.col("node").alias("__node")).distinct())
+    several = kept.join(parted, by_id, "left_semi")
+    return kept.join(parted, by_id, "left_anti").unionByName(
+        several.join(gone, by_id & (node(F.col(text_col).cast("binary")) == F.col("__node")), "left_anti"))

@@ -135,6 +135,15 @@ def test_ngram_join_repeated_and_null_ids_and_empty(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "None"]
 
 
+def test_keep_one_decides_by_the_text_of_a_row(spark):
+    x, y = "one two three four five six seven eight nine ten", "ten nine eight seven six five four three two one"
+    rows = [(5, x), (5, y), (1, y), (9, x), (9, x), (7, ""), (7, y), (8, None), (8, "few words"), (None, x)]
+    kept = ngram_join.keep_one(spark, docs(spark, rows))
+    assert kept.columns == docs(spark, []).columns
+    got = sorted(((-1 if r.doc_id is None else r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(5, x), (1, y), (7, ""), (8, None), (8, "few words"), (-1, x)], key=str)
+
+
 def test_ngram_join_null_id_links_and_bridges(spark):
     base = [f"w{k}" for k in range(60)]
     side = lambda a, b: " ".join([f"{a}{k}" for k in range(b)])
