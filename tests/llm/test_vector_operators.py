@@ -110,3 +110,58 @@ def test_no_member_of_a_large_copy_group_is_lost(noise):
     found = sum(len(np.intersect1d(a, b)) for a, b in zip(got, true))
     assert found >= hnsw.AUDIT_RECALL * sum(map(len, true))
     assert all(len(a) == len(set(a.tolist())) for a in got)
+
+
+def test_audit_takes_queries_with_links_each_alike():
+    rnd = np.random.default_rng(9)
+    x = rnd.normal(size=(3000, 32))
+    x[1000:2000] = x[7]                                        # a group of copies
+    x[2000:2100] = x[2100:2200] + 0.05 * rnd.normal(size=(100, 32))   # rare pairs
+    ids, unit = np.arange(3000), hnsw._unit(x)
+    graph = hnsw.Graph(unit, ids.view(np.uint64))
+    asked, seen = [], graph.near
+
+    def near(q, least, beam):
+        asked.append((len(q), beam))
+        found = seen(q, least, beam)
+        # a search that loses rare links until its beam is wide: links of copies hide nothing
+        return found if beam >= 4 * hnsw.SEARCH_BEAM else [h if len(h) > 100 else h[:1] for h in found]
+
+    graph.near = near
+    beam = hnsw.audited_beam(graph, ids, ids, unit.astype(np.float32), np.float32(0.93))
+    assert beam == 4 * hnsw.SEARCH_BEAM and all(n >= hnsw.AUDIT for n, _ in asked)
+    lone = hnsw._unit(rnd.normal(size=(50, 32)))
+    graph = hnsw.Graph(lone, np.arange(50).astype(np.uint64))
+    assert hnsw.audited_beam(graph, np.arange(50), np.arange(50), lone.astype(np.float32), np.float32(0.93)) == hnsw.SEARCH_BEAM
+
+
+def test_a_link_counts_for_both_sides():
+    import zlib
+
+    import pyarrow as pa
+    rnd = np.random.default_rng(3)
+
+    def row(forward, rows, cols, grid):
+        return {"forward": forward, "rows": rows.astype("<i8").tobytes(), "cols": cols.astype("<i8").tobytes(),
+                "bits": zlib.compress(np.packbits(grid, axis=1).tobytes(), 1)}
+
+    def counts(low, high, rows):
+        got = hnsw.count_links(tuple(map(pa.scalar, ("x", 4, low, high))), pa.Table.from_pylist(rows))
+        return dict(zip(*(c.to_pylist() for c in got.columns)))
+
+    a, b = np.arange(1300) * 2, np.arange(77) * 2 + 1
+    ab, ba, aa = rnd.random((1300, 77)) < 0.01, rnd.random((77, 1300)) < 0.01, rnd.random((1300, 1300)) < 0.002
+    np.fill_diagonal(aa, False)
+    for one, two in ((ab, ba), (ab, None), (None, ba)):
+        both = (one if one is not None else False) | (two.T if two is not None else False)
+        rows = ([row(True, a, b, one)] if one is not None else []) + ([row(False, b, a, two)] if two is not None else [])
+        want = {**dict(zip(a.tolist(), both.sum(axis=1).tolist())), **dict(zip(b.tolist(), both.sum(axis=0).tolist()))}
+        assert counts(0, 1, rows) == {k: n for k, n in want.items() if n}
+    want = dict(zip(a.tolist(), (aa | aa.T).sum(axis=1).tolist()))
+    assert counts(5, 5, [row(True, a, a, aa)]) == {k: n for k, n in want.items() if n}
+
+
+def test_rows_that_repeat_an_id_count_as_one_vector(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.01], 1), (2, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [0.0, 1.0], 1)]
+    got = {r.id: (r.n_links, r.component_id) for r in hnsw.near_duplicates(spark, frame(spark, rows), shard_size=1).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
