@@ -11,7 +11,8 @@ when their sets' Jaccard similarity reaches the threshold.  The steps:
    smaller set.  Prefix entries are dealt by shingle, packed in arrays.  A shingle of few
    nodes yields its pairs, which are counted; a shingle of many nodes yields no pairs: it
    counts for each of its nodes, and nodes with enough such shingles to reach 1 + d are
-   chained to the shingle's smallest node.  No link between different sets is lost.
+   chained, by way of a few groups, to the shingle's smallest node.  No link between
+   different sets is lost.
 3. Candidate edges form clusters, clusters are cut into blocks of bounded size, and the whole
    sets of a block go into a trie in one global order, frequent shingles first.  Every set
    traverses the trie: overlap along a shared path is counted once for all sets below, and
@@ -37,7 +38,8 @@ from bikelake.llm.common import batch_of, components, texts_of, written
 WORDS = 5
 PERCENT = 80               # links: 100 * intersection >= PERCENT * union
 SKETCH_BITS = 20           # size of the count sketch, fixed
-FILTER_BITS = 25           # size of the filter of ids whose sets are shipped, fixed
+FILTER_BITS = (16, 29)     # size of the filter of ids whose sets are shipped: about 16 bits an id between these
+CHAIN_SALTS = 16           # groups in which a frequent shingle is chained
 FEW_NODES = 24             # a shingle of at most so many nodes yields pairs
 PART_ENTRIES = 200_000     # prefix entries of a part, about
 BLOCK_SETS = 400           # sets of a trie, about
@@ -142,9 +144,9 @@ def _sum_sketches(batches):
                                 [zlib.compress(np.minimum(part, 0xFFFFFFFF).astype("<u4").tobytes(), 1)]])
 
 
-def _filter_bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _filter_bits(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     h = _mix(h.view(np.uint64))
-    at = np.concatenate([h & np.uint64((1 << FILTER_BITS) - 1), h >> np.uint64(64 - FILTER_BITS)]).astype(np.int64)
+    at = np.concatenate([h & np.uint64((1 << size) - 1), h >> np.uint64(64 - size)]).astype(np.int64)
     return at >> 3, (1 << (at & 7)).astype(np.uint8)
 
 
@@ -154,11 +156,15 @@ def _filter_blocks(bits: np.ndarray):
         yield batch_of(schema, [[k], [zlib.compress(part.tobytes(), 1)]])
 
 
-def _make_filter(batches):
-    bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-    for batch in batches:
-        np.bitwise_or.at(bits, *_filter_bits(batch.column(0).to_numpy()))
-    yield from _filter_blocks(bits)
+def _make_filter(size: int):
+    def run(batches):
+        bits = np.zeros(1 << size - 3, np.uint8)
+        for batch in batches:
+            np.bitwise_or.at(bits, *_filter_bits(batch.column(0).to_numpy(), size))
+        if bits.any():
+            yield from _filter_blocks(bits)
+
+    return run
 
 
 def _join_filters(batches):
@@ -172,16 +178,22 @@ def _join_filters(batches):
         yield batch_of(schema, [[k], [zlib.compress(part.tobytes(), 1)]])
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """Bit filter of fixed size that passes every id of the one column (and few others, as
-    long as they are not many millions; more then, which costs work but no result)."""
-    bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-    made = (ids.mapInArrow(_make_filter, "block int, bits binary").repartition("block")
+def filter_size(ids: int) -> int:
+    return min(max((16 * ids).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+
+
+def id_filter(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """Bit filter that passes every id of the one column and some two in a hundred others, and the
+    logarithm of its size.  It takes at most 64 MB, enough for about 30 million ids; of
+    more ids it passes more others, which costs work but no result."""
+    size = filter_size(ids.count())
+    bits = np.zeros(1 << size - 3, np.uint8)
+    made = (ids.mapInArrow(_make_filter(size), "block int, bits binary").repartition("block")
             .mapInArrow(_join_filters, "block int, bits binary"))
-    for r in made.collect():  # 16 rows of a fixed size
+    for r in made.collect():  # 16 rows of at most 4 MB
         width = len(bits) // 16
         bits[r[0] * width:(r[0] + 1) * width] = np.frombuffer(zlib.decompress(r[1]), np.uint8)
-    return bits
+    return bits, size
 
 
 # ------------------------------------------------------------------- pass 2: prefix entries
@@ -447,9 +459,15 @@ def _components_by_row(spark: SparkSession, docs: DataFrame, id_col: str, text_c
     # The smallest partner a set can link to bounds the entries it must share.
     smaller = F.expr(f"size - {int(np.ceil(SIZE_STEPS * np.log(100.0 / percent))) + 1}")
     enough = held.withColumn("size", smaller).filter(F.col("h") >= least).select("node")
-    chained = frequent.join(enough, "node", "left_semi").select("node", "shingle")
-    centre = chained.groupBy("shingle").agg(F.min("node").alias("b"))
-    chains = chained.join(centre, "shingle").select(F.col("node").alias("a"), "b").filter("a <> b").distinct()
+    # One shingle may be that of a third of all nodes: its nodes are chained to the smallest of
+    # their group by a hash, and the smallest nodes of its few groups to the smallest of these.
+    chained = (frequent.join(enough, "node", "left_semi")
+               .select("node", "shingle", F.pmod(F.xxhash64("node"), F.lit(CHAIN_SALTS)).alias("salt")))
+    near = chained.groupBy("shingle", "salt").agg(F.min("node").alias("b"))
+    far = near.groupBy("shingle").agg(F.min("b").alias("centre"))
+    chains = (chained.join(near, ["shingle", "salt"]).select(F.col("node").alias("a"), "b")
+              .union(near.join(far, "shingle").select(F.col("b").alias("a"), F.col("centre").alias("b")))
+              .filter("a <> b").distinct())
     cluster = components(spark, pairs.union(chains), "join-clusters").select("node", F.col("root").alias("cluster"))
 
     # Blocks of bounded size, by a hash; some sets of a large cluster stand in all its blocks.
@@ -468,11 +486,12 @@ def _components_by_row(spark: SparkSession, docs: DataFrame, id_col: str, text_c
         named, nameless = wanted.filter("doc_id IS NOT NULL"), wanted.filter("doc_id IS NULL").drop("doc_id")
 
         def sets_of(ids: DataFrame, by_node: bool):
-            passes = spark.sparkContext.broadcast(id_filter(ids))
+            bits, size = id_filter(ids)
+            passes = spark.sparkContext.broadcast(bits)
             schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("shingles", pa.binary())])
 
             def passed(ids):
-                byte, bit = _filter_bits(ids)
+                byte, bit = _filter_bits(ids, size)
                 return ((passes.value[byte] & bit) > 0).reshape(2, -1).all(axis=0)
 
             def sets(batches):
