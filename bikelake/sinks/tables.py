@@ -223,8 +223,10 @@ def merge_buckets(name: str, source: DataFrame, keys: Sequence[str], root: str,
     keys stay; with ``order_desc`` the newer row of a key wins whichever side it comes from, ties
     by the other columns, so batches may come again or in any order.  A row with a NULL key is
     added by every merge (``null_keys="insert"``, J6) or is a key like any other ("match").
-    One shuffle of the touched buckets and the source, by bucket.  Where the source has
-    columns that the table lacks, all buckets are written.
+    One shuffle of the touched buckets and the source, by bucket and share of a bucket: with more
+    shuffle partitions than buckets, several tasks write a bucket, a file each, so a bucket may
+    outgrow a task.  Rows with a NULL key that are added by every merge are dealt by
+    their values.  Where the source has columns that the table lacks, all buckets are written.
     """
     if null_keys not in ("insert", "match"):
         raise ValueError(f"unknown null_keys {null_keys!r}")
@@ -247,14 +249,17 @@ def merge_buckets(name: str, source: DataFrame, keys: Sequence[str], root: str,
     if target is not None:
         both = target.withColumn("_from_source", F.lit(0)).unionByName(both, allowMissingColumns=True)
     data = [c for c in both.columns if c != "_from_source"]
-    both = both.withColumn("_bucket", _bucket(keys, count)).repartition("_bucket")
     first = list(order_desc) if order_desc else ["_from_source"]
     types = {f.name: f.dataType for f in both.schema.fields}
     ties = [c for c in data if c not in keys and c not in first and _orderable(types[c])]
-    w = Window.partitionBy("_bucket", *keys).orderBy(*[F.col(c).desc_nulls_last() for c in first + ties])
-    keep = F.col("_place") == 1
+    keep, share = F.col("_place") == 1, F.xxhash64(*keys, F.lit(1))
     if null_keys == "insert":
         keep = keep | ~_non_null(keys)
+        share = F.when(_non_null(keys), share).otherwise(F.xxhash64(*first, *ties))
+    shares = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // count)
+    both = (both.withColumn("_bucket", _bucket(keys, count)).withColumn("_share", F.pmod(share, F.lit(shares)))
+            .repartition("_bucket", "_share"))
+    w = Window.partitionBy("_bucket", "_share", *keys).orderBy(*[F.col(c).desc_nulls_last() for c in first + ties])
     merged = both.withColumn("_place", F.row_number().over(w)).filter(keep).select(*data, "_bucket")
     folder = f"v{version:06d}-{uuid.uuid4().hex[:12]}"
     merged.write.mode("errorifexists").partitionBy("_bucket").parquet(f"{home}/{folder}")

@@ -104,3 +104,30 @@ def test_two_key_columns(spark):
     upsert(name, one, ["a", "b"], root)
     upsert(name, one.filter("id % 2 = 0").withColumn("v", F.lit(2)), ["a", "b"], root)
     assert spark.table(name).groupBy("v").count().orderBy("v").collect() == [(1, 30), (2, 30)]
+
+
+def test_several_tasks_write_a_bucket(spark):
+    """A bucket may outgrow a task: with more shuffle partitions than buckets it is cut into
+    shares by key, and rows with a NULL key (a third here) by their values."""
+    source = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.concat(F.lit("k"), "id")).alias("k"),
+                                      F.col("id").alias("ts"), F.lit("a").alias("v"))
+    again = source.filter("ts < 3000").withColumn("ts", F.col("ts") + 1).withColumn("v", F.lit("b"))
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for mode, nulls in (("insert", 3000), ("match", 1)):
+            name, root = fresh()
+            upsert(name, source, ["k"], root, order_desc=["ts"], null_keys=mode, source_unique=True, buckets=4)
+            upsert(name, again, ["k"], root, order_desc=["ts"], null_keys=mode, source_unique=True)
+            got = rows(spark.table(name))
+            want = {k: (ts + 1, "b") if ts < 3000 else (ts, "a") for k, ts, _ in rows(source) if k}
+            assert {r[0]: r[1:] for r in got if r[0]} == want and len(got) == 4000 + nulls
+            sizes = [[spark.read.parquet(f"{d}/{f}").filter("k IS NULL" if mode == "insert" else "k IS NOT NULL").count()
+                      for f in os.listdir(d) if f.endswith(".parquet")] for d in bucket_folders(spark, name, root).values()]
+            assert all(len(s) > 1 for s in sizes)
+            assert max(map(max, sizes)) < (1500 if mode == "insert" else 800)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
