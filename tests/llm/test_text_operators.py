@@ -379,6 +379,25 @@ def test_quality_ranking_and_edges(spark):
     assert (flat.score([None, "a"]) >= quality.SHOWN_AT).all()
 
 
+def test_quality_learns_from_every_labelled_document(spark):
+    """The weights are the minimum over all pairs of all rows, the cut their exact quantiles."""
+    rnd, rows = random.Random(3), []
+    for k in range(7000):
+        mark = rnd.choice(".,;!?" if rnd.random() < (0.7 if k % 2 else 0.3) else "#$%*~")
+        rows.append((k, " ".join("ab"[: rnd.randint(1, 2)] * rnd.randint(1, 4) for _ in range(rnd.randint(1, 9))) + mark, k % 2))
+    data = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(5)
+    model = quality.train(data, data)
+    x = np.stack([quality.features(t) for _, t, _ in rows]).astype(float)
+    y = np.array([r[2] for r in rows])
+    z = (x - x.mean(axis=0)) / np.maximum(x.std(axis=0), 0.02)
+    raw = z @ model.weight
+    wrong = 1 / (1 + np.exp(raw[y == 1][:, None] - raw[y == 0]))
+    grad = (wrong.sum(axis=0) @ z[y == 0] - wrong.sum(axis=1) @ z[y == 1]) / wrong.size + quality.RIDGE * model.weight
+    assert np.linalg.norm(grad) < 1e-4 and np.abs(model.weight).max() > 0.05
+    high, low = np.quantile(raw[y == 0], quality.CUT_QUANTILE), np.quantile(raw[y == 1], 1 - quality.CUT_QUANTILE)
+    assert abs(model.cut - (min(high, low) + quality.CUT_SHARE * abs(low - high))) < 1e-4
+
+
 # ---------------------------------------------------------------- pages
 
 def page(body, head=""):
