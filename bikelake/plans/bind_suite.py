@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from bikelake.plans.catalog import query
 from bikelake.plans.bind_profile import SNAPSHOT_CUT
 from bikelake.plans.flows import _published_and_tested
 from bikelake.plans.gold_tests import GOLD_TESTS, checks_sql
-from bikelake.session import scratch_path
+from bikelake.session import scratch_path, side_by_side
 from bikelake.sources.tables import load_table
 
 _MODEL_SQL = {"hourly_trip_demand": DEMAND_SQL, "station_monthly_flow": FLOW_SQL,
@@ -24,7 +25,7 @@ _MODEL_SQL = {"hourly_trip_demand": DEMAND_SQL, "station_monthly_flow": FLOW_SQL
 @query("dq_suite", sql="\nunion all\n".join(checks_sql(sql, GOLD_TESTS[m], m) for m, sql in _MODEL_SQL.items()))
 def q_dq_suite(spark: SparkSession, sf: str) -> DataFrame:
     """All declared tests of the four gold models, one report over the published tables."""
-    history, live = history_tables(spark, sf), live_tables(spark, sf)
+    history, live = side_by_side(spark, partial(history_tables, spark, sf), partial(live_tables, spark, sf))
     tables = {"hourly_trip_demand": history["demand"], "station_monthly_flow": history["flow"],
               "station_live_health": live["health"], "station_rebalancing_priority": live["queue"]}
     out = None
