@@ -75,7 +75,7 @@ class Model:
         v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
         return v
 
-    def predict(self, texts: list[str | None], block: int = 256):
+    def predict(self, texts: list[str | None], block: int = 64):
         """``(language, score, rejected)`` per text."""
         out = []
         for k in range(0, len(texts), block):

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from bikelake.llm.common import written
+from bikelake.llm.common import small_batches, written
 
 RIDGE = 1e-3
 CELLS = 1 << 13           # of the grid of scores, in whose resolution pairs are told apart
@@ -253,13 +253,17 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
           label_col: str = "quality") -> Model:
     """Fit on every document with a label.  Rows without a label, id or text are not learned
     from.  Of a document with several labels the largest counts.  Features are made beside the
-    texts; the join and the passes over the labelled documents carry only these."""
+    texts; the join and the passes over the labelled documents carry only these.  They are
+    written before the join: where it is broadcast, features and blocks would else be made in
+    one task by two Python workers, and an executor keeps all workers that it ever needed at once."""
+    spark = docs.sparkSession
+    small_batches(spark)
     known = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("y"))
              .filter("__id IS NOT NULL AND y IS NOT NULL").groupBy("__id").agg(F.max("y").alias("y")).filter("y IN (0, 1)"))
     found = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
              .filter("__id IS NOT NULL AND __text IS NOT NULL").select("__id", _sparse("__text").alias("x")))
-    rows = found.join(known, "__id").select("y", "x.j", "x.v")
-    return fit(_totals(written(docs.sparkSession, rows.mapInPandas(_blocks, "y binary, n binary, j binary, v binary"), "quality")))
+    rows = written(spark, found, "quality-features").join(known, "__id").select("y", "x.j", "x.v")
+    return fit(_totals(written(spark, rows.mapInPandas(_blocks, "y binary, n binary, j binary, v binary"), "quality")))
 
 
 def scorer(model: Model):

@@ -11,19 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bikelake.llm import langid, mixing, ngram_join, packing, quality
-from bikelake.llm.common import ship_package, table, written
+from bikelake.llm.common import ship_package, small_batches, table, written
+
+
+def _ready(spark: SparkSession) -> None:
+    """Before a stage that hands whole texts to Python."""
+    ship_package(spark)
+    small_batches(spark)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language is not known: no letters, or too far from every centroid."""
-    ship_package(spark)
+    _ready(spark)
     model = langid.train(docs.filter(~langid.folds("doc_id", 3, 1)))
     return docs.filter(~langid.classifier(model)(F.col("text"))["rejected"])
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that score below the cut."""
-    ship_package(spark)
+    _ready(spark)
     labels = table(spark, sf_dir, "labels").filter(~langid.folds("doc_id", 4, 2))
     model = quality.train(docs, labels)
     return docs.filter(quality.scorer(model)(F.col("text")) >= quality.SHOWN_AT)
@@ -31,7 +37,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each component of the n-gram similarity join."""
-    ship_package(spark)
+    _ready(spark)
     return ngram_join.keep_one(spark, docs)
 
 
@@ -42,7 +48,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack neighbours in the mixed order into sequences."""
-    ship_package(spark)
+    _ready(spark)
     return packing.pack(spark, docs, in_order=True)
 
 

@@ -8,6 +8,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -475,3 +476,30 @@ def test_mixing_meets_targets_below_one_slot(spark):
     for s in ("s0", "s77", "s199"):
         for t in range(1, 801):
             assert abs(order[:t].count(s) - t * 0.0025) < 1
+
+
+def test_quality_needs_one_python_worker_a_task(spark, monkeypatch):
+    """Features and blocks are made in jobs of their own, also where the join is broadcast."""
+    plans = []
+    real = quality.written
+
+    def noted(session, df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(session, df, name)
+    monkeypatch.setattr(quality, "written", noted)
+    data = spark.createDataFrame([(k, "good. " * 5 if k % 2 else "BAD#" * 5, k % 2) for k in range(40)], "doc_id long, text string, quality int")
+    quality.train(data, data)
+    assert plans and all(("ArrowEvalPython" in p) + ("MapInPandas" in p) == 1 for p in plans)
+
+
+def test_long_texts_reach_python_a_few_megabytes_at_a_time(spark):
+    import corpus_pipeline
+    rows = docs(spark, [(k, "ab cd. " * 1000) for k in range(3000)]).coalesce(1)
+    held = spark.createDataFrame([], "doc_id long, quality int")
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    for ready in (lambda: corpus_pipeline.language_id(spark, rows.withColumn("lang", F.lit("en")).limit(0), ""), lambda: quality.train(rows, held)):
+        for name in names:
+            spark.conf.unset(name)
+        ready()
+        sizes = rows.mapInPandas(lambda batches: (pd.DataFrame({"n": [int(b["text"].str.len().sum())]}) for b in batches), "n long").collect()
+        assert sum(r.n for r in sizes) == 3000 * 7000 and max(r.n for r in sizes) < 5 << 20
