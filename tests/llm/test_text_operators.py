@@ -45,6 +45,22 @@ def test_components_chain_star_loop_and_empty(spark):
     assert components(spark, spark.createDataFrame([], "x long, y long")).count() == 0
 
 
+def test_components_write_few_files_over_many_partitions(spark):
+    few = max(2 * spark.sparkContext.defaultParallelism, 400 // 8)
+    conf = {"spark.sql.shuffle.partitions": "400", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        edges = [(3 * k + j, 3 * k) for k in range(900) for j in (1, 2)]
+        got = components(spark, spark.createDataFrame(edges, "x long, y long").repartition(300, "x"))
+        assert len(got.inputFiles()) <= few
+        assert {r.node: r.root for r in got.collect()} == {k: k - k % 3 for k in range(2700)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 # ---------------------------------------------------------------- n-gram join
 
 def brute_components(rows):
