@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from bikelake.llm.common import small_batches
+
 BITS = 14
 FEATURES = 1 << BITS
 PER_LANGUAGE = 600       # bound of the training sample, in documents of each language
@@ -202,7 +204,9 @@ def folds(id_col: str, modulus: int, held: int):
 def identify(docs: DataFrame, train_on: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang", model: Model | None = None) -> DataFrame:
     """``(id, lang_pred, score, rejected)`` for every row of ``docs``; repeated rows and null
-    ids give one row each, an empty table none."""
+    ids give one row each, an empty table none.  Whole texts are read, and handed to Python, a
+    few MB at a time."""
+    small_batches(docs.sparkSession)
     model = model or train(train_on, id_col=id_col, text_col=text_col, lang_col=lang_col)
     p = classifier(model)(F.col(text_col))
     return docs.select(F.col(id_col), p.alias("__p")).select(id_col, "__p.*")

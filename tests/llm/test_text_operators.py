@@ -519,3 +519,17 @@ def test_long_texts_reach_python_a_few_megabytes_at_a_time(spark):
         ready()
         sizes = rows.mapInPandas(lambda batches: (pd.DataFrame({"n": [int(b["text"].str.len().sum())]}) for b in batches), "n long").collect()
         assert sum(r.n for r in sizes) == 3000 * 7000 and max(r.n for r in sizes) < 5 << 20
+
+
+def test_language_identification_reads_texts_a_few_megabytes_at_a_time(spark, tmp_path):
+    rows = docs(spark, [(k, "ab cd. " * 1000) for k in range(3000)]).withColumn("lang", F.lit("en")).coalesce(1)
+    for name in ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"):
+        spark.conf.unset(name)
+    model = langid.fit([("en", "ab cd. " * 10)])
+    assert langid.identify(rows.limit(3), rows, model=model).count() == 3
+    sizes = rows.mapInPandas(lambda batches: (pd.DataFrame({"n": [int(b["text"].str.len().sum())]}) for b in batches), "n long").collect()
+    assert sum(r.n for r in sizes) == 3000 * 7000 and max(r.n for r in sizes) < 5 << 20
+    rows.write.parquet(f"{tmp_path}/documents")
+    for got in (langid.identify(spark.read.parquet(f"{tmp_path}/documents"), rows, model=model), langid.identify(rows, rows)):
+        assert [(r.lang_pred, r.n) for r in got.groupBy("lang_pred").agg(F.count("*").alias("n")).collect()] == [("en", 3000)]
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 1024
