@@ -4,12 +4,14 @@ import json
 import os
 import tempfile
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
 from bikelake.sources.schemas import (contract_versions, merge_contracts, remember_contract, remembered_schema)
-from bikelake.streaming.feeds import batch_ids, bronze_view, ingest_csv, ingest_feed, parse_documents
+from bikelake.streaming.feeds import (STAGE_GROUP_BYTES, batch_ids, bronze_view, ingest_csv, ingest_feed,
+                                      parse_documents, pieces, staged)
 
 ELEMENT = StructType([StructField("station_id", StringType()), StructField("n", LongType())])
 
@@ -96,6 +98,39 @@ def test_a_batch_that_runs_again_replaces_itself(spark):
     assert f.quarantine() == [("element", "5")]
 
 
+def test_ingest_holds_no_rows_in_the_executors_memory(spark, monkeypatch):
+    f, kept, frame = Feed(spark), [], type(spark.range(0))
+    for name in ("persist", "cache", "localCheckpoint"):
+        monkeypatch.setattr(frame, name, lambda self, *a, _f=getattr(frame, name), _n=name, **b: kept.append(_n) or _f(self, *a, **b))
+    put(f"{f.base}/in", "a.json", doc([{"station_id": "1", "n": 1, "more": 2}, 5, {}], producer="acme"))
+    put(f"{f.base}/in", "b.json", doc([]))
+    # pieces that a stopped run of the batch left are replaced
+    spark.createDataFrame([(None, '{"station_id":"old"}')], "reason string, content string").write.parquet(f"{f.base}/bronze/_staged/000000000")
+    got = sorted(((r.station_id, r.n, r.more) for r in f.run().collect()), key=repr)
+    assert kept == [] and got == [("1", 1, 2), (None, None, None)]
+    assert f.quarantine() == [("element", "5"), ("envelope", '{"producer":"acme"}')]
+    assert os.listdir(f"{f.base}/bronze/_staged") == []
+
+
+def test_documents_are_parsed_once_into_small_row_groups(spark):
+    docs = spark.createDataFrame([(json.dumps(doc([{"station_id": "1"}, 2])), "a"), (None, "b")], "value string, _source_file string")
+    parsed = parse_documents(docs)
+
+    def parses(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("from_json")
+    assert parses(pieces(parsed)) == parses(parsed)
+    assert sorted(map(tuple, pieces(parsed).collect()), key=repr) == [("element", "2", 5, 60, "a"), (None, '{"station_id":"1"}', 5, 60, "a")]
+    folder = tempfile.mkdtemp(prefix="bl-staged-") + "/x"
+    texts = spark.range(0, 4000, 1, 1).select(F.sha2(F.col("id").cast("string"), 512).alias("h")).select(
+        F.concat(*[F.sha2(F.concat("h", F.lit(str(k))), 512) for k in range(80)]).alias("content"))
+    with staged(texts, folder) as back:                                          # some 40 MB, hardly compressed
+        assert back.count() == 4000
+        groups = [m.row_group(i).total_byte_size for name in os.listdir(folder) if name.endswith(".parquet")
+                  for m in [pq.ParquetFile(f"{folder}/{name}").metadata] for i in range(m.num_row_groups)]
+        assert len(groups) > 1 and max(groups) < 4 * STAGE_GROUP_BYTES
+    assert not os.path.exists(folder)
+
+
 def test_json_lines_and_empty_feed(spark):
     f = Feed(spark)
     os.makedirs(f"{f.base}/in")
